@@ -11,6 +11,7 @@ from kinfold.llm.components import match_groups
 from kinfold.llm.formatting import formatting_groups
 from kinfold.llm.lookalike import lookalike_forms, lookalike_pairs
 from kinfold.llm.mixing import mix
+from kinfold.llm.names import name_entities, name_pairs
 from kinfold.llm.neighbours import top_k
 from kinfold.llm.packing import container_report, pack
 from kinfold.llm.splitting import split_documents
@@ -44,6 +45,18 @@ def p2_statements(spark: SparkSession, d: str) -> DataFrame:
     return _statements(spark, d).where("hash = group_key").select("field_type", "hash", "copies")
 
 
+def _persons(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "unique_strings_by_field").where("field_type = 'person'").select("hash", "value")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_pairs(_persons(spark, d), "hash", "value").toDF("hash1", "hash2")
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    return name_entities(_persons(spark, d), "hash", "value")
+
+
 def _looks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "unique_strings_by_field").where(F.col("field_type").isin("person", "title")).select("hash", "value", "field_type")
 
@@ -109,5 +122,5 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_group_sizes, p2_found, p2_statements, p5_found, p5_forms, p6_found, p6_terms, p7_found, p7_nearest, p8_packed, p8_report, p9_mixed, p9_shares, p10_pieces)
+    for f in (p1_found, p1_group_sizes, p2_found, p2_statements, p3_found, p3_entities, p5_found, p5_forms, p6_found, p6_terms, p7_found, p7_nearest, p8_packed, p8_report, p9_mixed, p9_shares, p10_pieces)
 }
