@@ -81,9 +81,9 @@ def normalize_text(df: DataFrame, column: str, output: str, memory: str = "256MB
         with duckdb.connect(config={"threads": 1, "memory_limit": memory, "preserve_insertion_order": True}) as db:
             for b in batches:
                 db.register("batch", pa.table({"x": b.column(position).cast(pa.large_string())}))
-                y = db.execute(sql).to_arrow_table().column("y").combine_chunks()
+                y = db.execute(sql).to_arrow_table().column("y")
                 db.unregister("batch")
-                y = pa.concat_arrays(y.chunks) if isinstance(y, pa.ChunkedArray) else y
+                y = pa.concat_arrays(y.chunks) if y.num_chunks else pa.array([], pa.string())
                 yield pa.RecordBatch.from_arrays([*b.columns, y.cast(pa.string())], names=[*b.schema.names, output])
 
     return df.mapInArrow(run, schema)

@@ -37,6 +37,7 @@ ORGANISATION = {
 ORGANISATION_FORM = {form: word for word, forms in ORGANISATION.items() for form in [word, *forms.split()]}
 #: Words of organisations that tell nothing apart; "r" is royal in an organisation's name.
 WEAK = frozenset("the of and for de la le company co public free".split())
+_TITLE_INITIALS = frozenset("rpds")  # Rev., Prof., Dr., Sir
 _LETTERS = str.maketrans({"ø": "o", "ł": "l", "ß": "ss", "đ": "d", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d", "ı": "i"})
 _RANGE = re.compile(r"(?<!\d)(\d{3,4})\s*[-‐‑‒–—―]\s*(\d{3,4})?(?!\d)|[-‐‑‒–—―]\s*(\d{3,4})(?!\d)")
 _BORN, _DIED, _YEAR = re.compile(r"\b(?:born|b|geb)\b\.?\s*(\d{3,4})(?!\d)"), re.compile(r"\b(?:died|d|gest)\b\.?\s*(\d{3,4})(?!\d)"), re.compile(r"(?<!\d)(\d{4})(?!\d)")
@@ -81,14 +82,15 @@ def parse(name: str) -> tuple[bool, list[str], list[str], str, int | None, int |
     """(is organisation, tokens before the comma or all, tokens behind it, capitalised surname or "", year of birth, year of death)."""
     low = folded(name)
     birth = death = None
-    if m := _RANGE.search(low):
+    words = low
+    if m := _RANGE.search(low):  # a letter before a range of years is an initial
         birth, death = (int(x) if x else None for x in (m[1], m[2] or m[3]))
     else:
         birth = int(m[1]) if (m := _BORN.search(low)) else None
         death = int(m[1]) if (m := _DIED.search(low)) else None
         if birth is None and death is None and (m := _YEAR.search(low)):
             birth = int(m[1])
-    words = _DATED.sub(" ", low)
+        words = _DATED.sub(" ", low)
     left, _, right = words.partition(",")
     sides = [[w for w in _WORD.findall(x) if w not in HONORIFICS] for x in (left, right)]
     if not sides[0]:
@@ -145,7 +147,18 @@ def token_variants(tokens: DataFrame, scratch: Scratch) -> DataFrame:
     return pairs.where(((edits >= 0) & (edits <= 1)) | ((edits == 2) & (F.length("token") == F.length("other")) & (letters("token") == letters("other"))))
 
 
-_SHAPE = "name string, organisation boolean, labels array<string>, given array<string>, birth int, death int, tokens array<string>, weights array<double>"
+_SHAPE = "name string, organisation boolean, forms array<struct<label:string,given:array<string>,nick:boolean>>, given array<string>, birth int, death int, tokens array<string>, weights array<double>"
+
+
+def _other_given(given: list[str]) -> list[tuple[list[str], bool]]:
+    """Given names as they are if a title was shortened to an initial among them, or (True) a short form to its initial."""
+    out = []
+    if len(given) > 1 and all(len(g) == 1 for g in given):
+        out += [(given[1:], False)] if given[0] in _TITLE_INITIALS else []
+        out += [(given[:-1], False)] if given[-1] in _TITLE_INITIALS else []
+    if given and given[0] in SHORT_FORMS:
+        out += [([x, *given[1:]], True) for x in sorted({f[0] for f in SHORT_FORMS[given[0]].split()} - {given[0][0]})]
+    return out
 
 
 def _structure(total: int):
@@ -163,7 +176,7 @@ def _structure(total: int):
         near = [v for v in info["variants"] if v["n_right"] >= max(5, TIMES * info["n"]) and v["n_right"] > v["n_left"]]
         return FULL_FORM.get(near[0]["token"], near[0]["token"]) if len(near) == 1 else t
 
-    def one(organisation: bool, hint: str, infos: list[dict]) -> tuple[list[str], list[str], list[str], list[float]]:
+    def one(organisation: bool, hint: str, infos: list[dict]) -> tuple[list[dict], list[str], list[str], list[float]]:
         infos = sorted(infos, key=lambda x: x["pos"])
         left, right = [x for x in infos if x["side"] == 0], [x for x in infos if x["side"] == 1]
         if organisation:
@@ -187,15 +200,18 @@ def _structure(total: int):
             labels += [v["token"] for v in alone["variants"] if v["n_left"] >= v["n_right"]]
         tokens = [x["token"] for x in label] + given
         counts = {x["token"]: x["n"] for x in infos} | {v["token"]: v["n"] for x in infos for v in x["variants"]}
-        return labels, given, tokens, [log(1 + total / max(1, counts.get(t, 1))) for t in tokens]
+        forms = [{"label": x, "given": given, "nick": False} for x in labels]
+        if not organisation:
+            forms += [{"label": x, "given": g, "nick": nick} for g, nick in _other_given(given) for x in labels]
+        return forms, given, tokens, [log(1 + total / max(1, counts.get(t, 1))) for t in tokens]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, years = pa.list_(pa.string()), pa.int32()
         for b in batches:
             rows = [one(o, h, i) for o, h, i in zip(*(b.column(k).to_pylist() for k in (1, 2, 5)), strict=True)]
             if rows:
-                labels, given, tokens, weights = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(labels, words), pa.array(given, words), b.column(3).cast(years), b.column(4).cast(years), pa.array(tokens, words), pa.array(weights, pa.list_(pa.float64()))], names=["name", "organisation", "labels", "given", "birth", "death", "tokens", "weights"])
+                forms, given, tokens, weights = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(forms, pa.list_(pa.struct([("label", pa.string()), ("given", words), ("nick", pa.bool_())]))), pa.array(given, words), b.column(3).cast(years), b.column(4).cast(years), pa.array(tokens, words), pa.array(weights, pa.list_(pa.float64()))], names=["name", "organisation", "forms", "given", "birth", "death", "tokens", "weights"])
 
     return run
 
@@ -279,9 +295,10 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     infos = scratch.save(stats.join(near, "token", "left").withColumn("variants", F.coalesce("variants", empty)))
     shaped = placed.join(infos, "token").groupBy("name").agg(F.collect_list(F.struct("pos", "side", "token", "n", "n_left", "n_right", "variants")).alias("infos"))
     shaped = names.select("name", "organisation", "hint", "birth", "death").join(shaped, "name").select("name", "organisation", "hint", "birth", "death", "infos")
-    shaped = scratch.save(shaped.mapInArrow(_structure(total), _SHAPE).withColumn("sig", F.array_join("given", " ")))
+    shaped = scratch.save(shaped.mapInArrow(_structure(total), _SHAPE))
 
-    rows = scratch.save(shaped.select("name", "organisation", "given", "birth", "death", "sig", F.posexplode("labels").alias("alternative", "label")))
+    rows = shaped.select("name", "organisation", "birth", "death", F.posexplode("forms").alias("alternative", "form")).select("name", "organisation", "birth", "death", "alternative", "form.label", "form.given", "form.nick")
+    rows = scratch.save(rows.withColumn("sig", F.array_join("given", " ")))
     full = F.col("organisation") | ((F.size("given") > 0) & F.forall("given", lambda g: F.length(g) > 1)) | (F.size("given") == 0)
 
     # dated names: the same label, year of birth and initial
@@ -293,11 +310,11 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     links = a.join(b, same).where(deaths & _compatible("given_a", "given_b")).select(F.col("name_a").alias("one"), F.col("name_b").alias("two"))
 
     # names without dates: by signature, where what they fit is one entity; level 0 is the best fit
-    undated = rows.where("birth IS NULL OR organisation").withColumn("full", full)
+    undated = rows.where("(birth IS NULL OR organisation) AND NOT nick").withColumn("full", full)
     proxy = F.concat_ws("\t", "label", F.col("birth").cast("string"))
-    of_dated = scratch.save(dated.select("label", "sig", "given", proxy.alias("proxy"), "name"))
+    of_dated = scratch.save(dated.where("NOT nick").select("label", "sig", "given", proxy.alias("proxy"), "name"))
     exact = of_dated.where("sig <> ''").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
-    shorter = of_dated.select("label", F.explode(_patterns("given")).alias("sig"), "proxy", "name").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
+    shorter = _shorter_forms(of_dated)
     whole = undated.where("full AND NOT organisation AND sig <> ''").select("name", "label", "sig", "given")
     longer = whole.select("name", "label", F.explode(_patterns("given")).alias("sig")).join(whole.select("name", "label", F.col("sig").alias("own")), ["name", "label"]).where("sig <> own").select("name", "label", "sig")
     fits = (
@@ -313,14 +330,17 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     own = plain.join(spelt, ["organisation", "label", "sig"]).where("name <> witness")
     second = own.groupBy("name").agg(F.min_by("witness", F.struct("alternative", "label")).alias("witness"))
 
-    # initials and short forms: dated names and the full names without dates together
+    # initials and left-out names: dated names and the full names without dates together; first those full names that
+    # fit one longer name, then what is shorter still, for which the two count as one
     of_plain = plain.where("NOT organisation AND alternative = 0 AND sig <> ''").select("label", "sig", "given", F.concat_ws("\t", "label", F.lit(""), "sig").alias("proxy"), "name")
-    of_all = of_dated.unionByName(of_plain)
-    every = scratch.save(of_all.select("label", F.explode(_patterns("given")).alias("sig"), "sig", "proxy", "name").toDF("label", "sig", "own", "proxy", "name").where("sig <> own OR instr(proxy, '\t\t') = 0").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness")))
+    fuller = _shorter_forms(of_dated.unionByName(of_plain))
+    shortened = scratch.save(_unambiguous(plain.where("NOT organisation AND sig <> ''").select("name", "label", "sig").join(fuller, ["label", "sig"]).withColumn("level", F.lit(0)), "low"))
+    resolved = of_plain.join(shortened.select("name", "low"), "name", "left").withColumn("proxy", F.coalesce("low", "proxy")).select(*of_plain.columns)
+    every = _shorter_forms(of_dated.unionByName(resolved))
     brief = undated.where("NOT full").select("name", "label", "sig")
-    brief = brief.unionByName(plain.where("NOT organisation AND sig <> ''").select("name", "label", "sig"))
-    third = scratch.save(_unambiguous(brief.join(every, ["label", "sig"]).withColumn("level", F.lit(0))))
-    left = undated.where("NOT full").join(third.select("name"), "name", "left_anti")
+    briefly = scratch.save(_unambiguous(brief.join(every, ["label", "sig"]).withColumn("level", F.lit(0))))
+    third = shortened.select("name", "witness").unionByName(briefly)
+    left = undated.where("NOT full").join(briefly.select("name"), "name", "left_anti")
     alike = left.where("alternative = 0").groupBy("label", "sig").agg(F.min("name").alias("witness"))
     fourth = left.join(alike, ["label", "sig"]).where("name <> witness").groupBy("name").agg(F.min_by("witness", F.struct("alternative", "label")).alias("witness"))
 
@@ -333,11 +353,17 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     return entities.select(F.col("id").alias(key), F.coalesce("component", "name").alias("entity"))
 
 
-def _unambiguous(fits: DataFrame) -> DataFrame:
-    """(name, witness) of names whose best level has one entity only; (name, null) never occurs."""
+def _shorter_forms(names: DataFrame) -> DataFrame:
+    """(label, sig, low, high, witness): for each way to write a name shorter, whether it fits one entity (low = high). A full name without dates does not answer for itself."""
+    forms = names.select("label", F.col("sig").alias("own"), F.explode(_patterns("given")).alias("sig"), "proxy", "name")
+    return forms.where("sig <> own OR instr(proxy, '\t\t') = 0").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
+
+
+def _unambiguous(fits: DataFrame, *more: str) -> DataFrame:
+    """(name, witness) of names whose best level has one entity only."""
     by_level = fits.groupBy("name", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("witness").alias("witness"))
     best = by_level.groupBy("name").agg(F.min_by(F.struct("low", "high", "witness"), "level").alias("b"))
-    return best.where("b.low = b.high").select("name", "b.witness")
+    return best.where("b.low = b.high").select("name", "b.witness", *[f"b.{c}" for c in more])
 
 
 def name_pairs(values: DataFrame, key: str, value: str) -> DataFrame:
