@@ -31,13 +31,13 @@ def p1_group_sizes(spark: SparkSession, d: str) -> DataFrame:
     return groups.groupBy("group_size").agg(F.countDistinct("group_id").alias("groups"), F.count(F.lit(1)).alias("records"))
 
 
-def _statements(spark: SparkSession, d: str) -> DataFrame:
+def _statements(spark: SparkSession, d: str, only_repeated: bool = False) -> DataFrame:
     strings = table(spark, d, "unique_strings_by_field").where(F.col("field_type").isin("composite", "provision"))
-    return formatting_groups(strings, ["field_type"], "hash", "value", F.col("field_type") == "composite")
+    return formatting_groups(strings, ["field_type"], "hash", "value", F.col("field_type") == "composite", only_repeated=only_repeated)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _statements(spark, d).where("copies > 1").select("field_type", "hash", F.col("group_key").alias("group_hash"))
+    return _statements(spark, d, only_repeated=True).select("field_type", "hash", F.col("group_key").alias("group_hash"))
 
 
 def p2_statements(spark: SparkSession, d: str) -> DataFrame:

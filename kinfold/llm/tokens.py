@@ -49,5 +49,5 @@ def token_count(column: str, path: str = VOCABULARY) -> Column:
 
 
 def with_sizes(documents: DataFrame, columns: list[str], text: str = "text", size: str = "n_tokens", path: str = VOCABULARY) -> DataFrame:
-    """`columns` and the size of each text. Texts are spread over the cluster first where there are few input splits."""
+    """`columns` and the size of each text. Texts are counted where they are read."""
     return documents.select(*columns, token_count(text, path).alias(size))
