@@ -69,11 +69,6 @@ class KdTree:
         return (gap * gap).sum(1)
 
 
-def _unit(raw: list[bytes], dim: int) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float32).reshape(-1, dim).astype(np.float64)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
-
-
 def search(qv: np.ndarray, qp: np.ndarray, dv: np.ndarray, dp: np.ndarray, k: int, chi: float, floor: float | None, self_at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, cosine) of up to k most similar rows for each query; `self_at` is the row that is the query itself (-1: none).
 
@@ -231,7 +226,7 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
         parts = F.broadcast(spark.createDataFrame(crowded, "grp string, dim int, block bigint, parts bigint"))
         chunk = F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1)))
         projected = projected.join(parts, ["grp", "dim", "block"], "left").withColumn("block", F.col("block") + F.lit(BLOCKS) * chunk).drop("parts").select(*projected.columns)
-    boxes = projected.select("grp", "dim", "block", "query", "p").groupBy("grp", "dim", "block").applyInPandas(_box(dimensions), "grp string, dim int, block bigint, n bigint, queries bigint, low array<float>, high array<float>") if large or crowded else None
+    boxes = projected.select("grp", "dim", "block", "query", "p").groupBy("grp", "dim", "block").applyInArrow(_box(dimensions), "grp string, dim int, block bigint, n bigint, queries bigint, low array<float>, high array<float>") if large or crowded else None
     chi = chi_square_quantile(confidence, dimensions)
     if boxes is None:
         pairs = [(g, dim, 0, 0) for g, dim in counts]
@@ -248,7 +243,7 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
     if query:
         left = left.where(F.col("query") | F.col("same"))
     tasks = left.unionByName(right).repartition(max(1, len(pair_rows)), "pair")
-    hits = tasks.groupBy("pair").applyInPandas(_search_pair(k, chi, floor, dimensions, query is not None), "grp string, id string, neighbour string, cosine double")
+    hits = tasks.groupBy("pair").applyInArrow(_search_pair(k, chi, floor, dimensions, query is not None), "grp string, id string, neighbour string, cosine double")
     best = _first(hits, k)
     if members is not None:
         best = _with_copies(best, members, k, scratch)
@@ -277,10 +272,15 @@ def _with_copies(best: DataFrame, members: DataFrame, k: int, scratch: Scratch)
     return _first(others.unionByName(own), k)
 
 
+def _bytes(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width)
+
+
 def _box(m: int):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        p = np.frombuffer(b"".join(part.p), np.float32).reshape(-1, m)
-        return pd.DataFrame({"grp": [part.grp.iloc[0]], "dim": [part.dim.iloc[0]], "block": [part.block.iloc[0]], "n": [len(part)], "queries": [int(part["query"].sum())], "low": [p.min(0)], "high": [p.max(0)]})
+    def run(part: pa.Table) -> pa.Table:
+        p = _bytes(part["p"], m)
+        floats = pa.list_(pa.float32())
+        return pa.table({"grp": pa.array(part["grp"][:1].to_pylist(), pa.string()), "dim": pa.array(part["dim"][:1].to_pylist(), pa.int32()), "block": pa.array(part["block"][:1].to_pylist(), pa.int64()), "n": pa.array([len(p)], pa.int64()), "queries": pa.array([sum(part["query"].to_pylist())], pa.int64()), "low": pa.array([p.min(0)], floats), "high": pa.array([p.max(0)], floats)})
 
     return run
 
@@ -301,28 +301,29 @@ def _block_pairs(info: pd.DataFrame, chi: float, floor: float | None, one_way: b
 
 
 def _search_pair(k: int, chi: float, floor: float | None, m: int, one_way: bool):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        dim = int(part.dim.iloc[0])
-        v = _unit(part.v.tolist(), dim)
-        p = np.frombuffer(b"".join(part.p), np.float32).reshape(-1, m)
-        ids = part.id.to_numpy(object)
+    def run(part: pa.Table) -> pa.Table:
+        dim = part["dim"][0].as_py()
+        v = _bytes(part["v"], dim).astype(np.float64)
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        p = _bytes(part["p"], m)
+        ids = np.array(part["id"].to_pylist(), object)
         # ids in order, so that equal cosines go by the smaller one
         order = np.argsort(ids)
-        v, p, ids, side, asks = v[order], p[order], ids[order], part.side.to_numpy()[order], part["query"].to_numpy(bool)[order]
+        v, p, ids, side, asks = v[order], p[order], ids[order], part["side"].to_numpy()[order], np.array(part["query"].to_pylist(), bool)[order]
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         hits = []
-        if part.same.iloc[0]:
+        if part["same"][0].as_py():
             q = np.flatnonzero(asks) if one_way else one
-            a, b, c = search(v[q], p[q], v, p, k, chi, floor, q) if len(q) else ([], [], [])
-            hits.append((q[a], np.asarray(b, int), c) if len(q) else None)
+            if len(q):
+                a, b, c = search(v[q], p[q], v, p, k, chi, floor, q)
+                hits.append((q[a], b, c))
         elif len(one) and len(two):
             a, b, c = search(v[one], p[one], v[two], p[two], k, chi, floor)
             hits.append((one[a], two[b], c))
             if not one_way:
                 a, b, c = search(v[two], p[two], v[one], p[one], k, chi, floor)
                 hits.append((two[a], one[b], c))
-        hits = [h for h in hits if h is not None]
-        a, b, c = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else ([], [], [])
-        return pd.DataFrame({"grp": part.grp.iloc[0], "id": ids[a] if len(c) else [], "neighbour": ids[b] if len(c) else [], "cosine": c}) if len(c) else pd.DataFrame({"grp": [], "id": [], "neighbour": [], "cosine": []}).astype({"cosine": "float64"})
+        a, b, c = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else (np.empty(0, int), np.empty(0, int), np.empty(0))
+        return pa.table({"grp": pa.array([part["grp"][0].as_py()] * len(c), pa.string()), "id": pa.array(ids[a].tolist(), pa.string()), "neighbour": pa.array(ids[b].tolist(), pa.string()), "cosine": pa.array(c, pa.float64())})
 
     return run
