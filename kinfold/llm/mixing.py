@@ -62,7 +62,7 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", source: s
     rows count once; of several for a source the first by share and repeats holds. Empty tables give empty results.
     """
     scratch = Scratch(documents.sparkSession, "mixing")
-    sized = scratch.save(with_sizes(documents.where(F.col(source).isNotNull()), [key, source], text, "n_tokens", vocabulary).where("n_tokens > 0"))
+    sized = scratch.save(with_sizes(documents.where(F.col(source).isNotNull()), [key, source], text, "n_tokens", vocabulary)).where("n_tokens > 0")
     wanted = targets.where("source IS NOT NULL AND target_share > 0 AND max_repeats > 0").groupBy("source").agg(F.min(F.struct("target_share", "max_repeats")).alias("t")).select(F.col("source").alias("name"), "t.*")
     available = sized.groupBy(source).agg(F.sum("n_tokens").alias("available_tokens"), F.count(F.lit(1)).alias("documents"))
     # one row for each target: a table of sources, whose number the targets bound
