@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,16 +12,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinfold.llm.tokens import VOCABULARY, encoding
 
-#: Boundaries from the strongest to the weakest; a cut lies behind what matches. Fixed values.
-BOUNDARIES: tuple[tuple[int, str], ...] = (
-    (6, r"\n[^\S\n]*\n\s*(?=#|[A-Z0-9][^\n]{0,80}\n[=\-]{3,})|\f"),
-    (5, r"\n[^\S\n]*\n\s*"),
-    (4, r"\r?\n\s*"),
-    (3, r"[.!?…]+[\"'”’)\]]*\s+|[。！？]+[”’」』）]*"),
-    (2, r"[;:,]\s+|\s[–—-]+\s|[；：，、]"),
-    (1, r"\s+"),
-)
-_COMPILED = tuple((s, re.compile(p)) for s, p in BOUNDARIES)
+# Characters that a boundary lies behind; fixed values.
+_LINE, _PAGE = "\n\u0085\u2028", "\f\u2029"
+_BLANK = " \t\v\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000" + _LINE + _PAGE
+_SENTENCE, _CLAUSE, _DASH, _CLOSING = ".!?\u2026", ";:,", "-\u2013\u2014", "\"')]\u201d\u2019\u00bb"
+_WIDE_SENTENCE, _WIDE_CLAUSE = "\u3002\uff01\uff1f", "\uff1b\uff1a\uff0c\u3001"
 
 
 def token_starts(text: str, path: str = VOCABULARY) -> np.ndarray:
@@ -38,12 +32,42 @@ def token_starts(text: str, path: str = VOCABULARY) -> np.ndarray:
     return np.where(ends < len(raw), leads[inside] - 1, len(text))
 
 
-def _strengths(text: str) -> np.ndarray:
-    out = np.zeros(len(text) + 1, np.int8)
-    for strength, pattern in reversed(_COMPILED):
-        ends = np.fromiter((m.end() for m in pattern.finditer(text)), np.int64)
+def _among(points: np.ndarray, characters: str) -> np.ndarray:
+    table = np.zeros(0x10000, bool)
+    table[[ord(c) for c in characters]] = True
+    return table[np.minimum(points, 0xFFFF)]
+
+
+def boundary_strengths(text: str) -> np.ndarray:
+    """How good a cut before each character is: 6 page or heading, 5 paragraph, 4 line, 3 sentence, 2 clause, 1 word, 0 none.
+
+    A cut lies behind the white space, or behind the mark itself in scripts without spaces.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    n = len(points)
+    out = np.zeros(n + 1, np.int8)
+    out[1:][_among(points, _WIDE_CLAUSE)] = 2
+    out[1:][_among(points, _WIDE_SENTENCE)] = 3
+    blank = _among(points, _BLANK)
+    edges = np.diff(np.concatenate([[False], blank, [False]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    if len(starts):
+        within = lambda mask: (c := np.concatenate([[0], np.cumsum(mask)]))[ends] - c[starts]
+        lines, pages = within(_among(points, _LINE)), within(_among(points, _PAGE))
+        before = points[np.maximum(starts - 1, 0)]
+        last = before
+        closed = _among(before, _CLOSING)
+        last = np.where(closed, points[np.maximum(starts - 2, 0)], before)
+        strength = np.ones(len(starts), np.int8)
+        strength[_among(before, _CLAUSE + _DASH)] = 2
+        strength[_among(last, _SENTENCE)] = 3
+        strength[_among(last, _WIDE_SENTENCE)] = 3
+        strength[lines == 1] = 4
+        strength[lines > 1] = 5
+        heading = (lines > 1) & (points[np.minimum(ends, n - 1)] == ord("#"))
+        strength[heading | (pages > 0)] = 6
         out[ends] = strength
-    out[[0, len(text)]] = 0
+    out[[0, n]] = 0
     return out
 
 
@@ -59,7 +83,7 @@ def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, wind
     n = len(starts) - 1
     if n <= limit:
         return [(0, len(text), 0, n)] if n else []
-    strength = _strengths(text)
+    strength = boundary_strengths(text)
     enc, _ = encoding(path)
     count = max(2, -(-(n - overlap) // (limit - overlap)))
     while True:
@@ -69,7 +93,8 @@ def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, wind
             reach = max(1, int(window * (n / count)))
             # the piece from (cut before - overlap) may have `limit` tokens; the cut must move on by one token at least
             low = max(int(target) - reach, previous + 1)
-            high = min(int(target) + reach, (limit - overlap if previous else limit) + previous, n - 1)
+            # a cut may split a token or two, so the slice of tokens stays a little below the limit
+            high = min(int(target) + reach, max(1, (limit - overlap if previous else limit) - 2) + previous, n - 1)
             if low > high:
                 failed = True
                 break
@@ -87,6 +112,8 @@ def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, wind
                 break
             cuts.append(at)
             previous = int(np.searchsorted(starts, at, "left"))
+        if not failed and n - previous + (overlap if previous else 0) > limit:
+            failed = True
         if not failed:
             cuts.append(len(text))
             pieces = []
