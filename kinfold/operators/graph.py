@@ -73,3 +73,232 @@ def connected_components(pairs: DataFrame, a: str, b: str) -> DataFrame:
     rooted = vertices.join(roots, vertices.v == roots.a, "left").select("id", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))
     return lookup_join(rooted, smallest, ["root"], "id").select("id", "component")
+
+
+def build_edges(pairs: DataFrame, a: str, b: str, weight: str, least: float = 0.0) -> DataFrame:
+    """(src, dst, weight), src < dst: the best weight of each pair, at least `least`. Pairs with a null id or weight, and loops, are no edges."""
+    rows = pairs.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)) & (F.col(weight) >= least))
+    return rows.groupBy(F.least(a, b).alias("src"), F.greatest(a, b).alias("dst")).agg(F.max(weight).alias("weight"))
+
+
+def symmetric(edges: DataFrame) -> DataFrame:
+    return edges.select(F.explode(F.array(F.struct(F.col("src").alias("node"), F.col("dst").alias("other"), "weight"), F.struct(F.col("dst").alias("node"), F.col("src").alias("other"), "weight"))).alias("e")).select("e.*")
+
+
+def transitive_edges(edges: DataFrame, least: float = 0.5) -> DataFrame:
+    """Edges that close an open wedge: the best product of the two weights, at least `least`. One pass; existing edges are left out.
+
+    Weights are at most 1, so an edge below `least` closes nothing: it does not reach the self-join.
+    """
+    near = symmetric(edges.where(F.col("weight") >= least))
+    x, y = near.alias("x"), near.alias("y")
+    wedges = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.other") < F.col("y.other"))).where(F.col("x.weight") * F.col("y.weight") >= least)
+    closed = wedges.groupBy(F.col("x.other").alias("src"), F.col("y.other").alias("dst")).agg(F.max(F.col("x.weight") * F.col("y.weight")).alias("weight"))
+    return closed.join(edges.select("src", "dst"), ["src", "dst"], "left_anti")
+
+
+def split_oversize(clusters: DataFrame, edges: DataFrame, most: int, connectivity: float) -> DataFrame:
+    """(id, component): clusters above `most` members fall apart along edges below `connectivity`; one that would not, or others, stay as they are."""
+    from kinfold.operators.skew import lookup_join
+
+    large = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select("component", F.lit(True).alias("__large"))
+    marked = lookup_join(clusters, large, ["component"], "id")
+    members = marked.where("__large").select("id", "component")
+    inside = edges.where(F.col("weight") >= connectivity).join(members.select(F.col("id").alias("src")), "src", "left_semi")
+    parts = connected_components(inside, "src", "dst").withColumnRenamed("component", "part")
+    split = members.join(parts, "id", "left").select("id", F.coalesce("part", "id").alias("component"))
+    return marked.where("__large IS NULL").select("id", "component").unionByName(split)
+
+
+def degrees(edges: DataFrame) -> DataFrame:
+    return symmetric(edges).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+
+
+def triangles(edges: DataFrame) -> DataFrame:
+    """(node, triangles). Each edge points from the lower degree to the higher, so no node has many more than sqrt(2 m) outgoing ones and a hub's wedges are never listed."""
+    d = degrees(edges)
+    of = lambda c: d.select(F.col("node").alias(c), F.col("degree").alias(f"{c}_degree"))
+    both = edges.select("src", "dst").join(of("src"), "src").join(of("dst"), "dst")
+    first = F.struct("src_degree", "src") < F.struct(F.col("dst_degree").alias("src_degree"), F.col("dst").alias("src"))
+    out = both.select(F.when(first, F.col("src")).otherwise(F.col("dst")).alias("a"), F.when(first, F.col("dst")).otherwise(F.col("src")).alias("b"))
+    x, y = out.alias("x"), out.alias("y")
+    wedges = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.b") < F.col("y.b"))).select(F.col("x.a").alias("a"), F.col("x.b").alias("src"), F.col("y.b").alias("dst"))
+    closed = wedges.join(edges.select("src", "dst"), ["src", "dst"], "left_semi")
+    return closed.select(F.explode(F.array("a", "src", "dst")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("triangles"))
+
+
+def graph_statistics(edges: DataFrame) -> DataFrame:
+    """One row: nodes, edges, density, average degree, average clustering coefficient over all nodes, components."""
+    d = degrees(edges).join(triangles(edges), "node", "left")
+    local = F.when(F.col("degree") > 1, 2 * F.coalesce("triangles", F.lit(0)) / (F.col("degree") * (F.col("degree") - 1))).otherwise(0.0)
+    stats = d.agg(F.count(F.lit(1)).alias("nodes"), (F.sum("degree") / 2).cast("bigint").alias("edges"), F.avg(local).alias("average_clustering"))
+    groups = connected_components(edges, "src", "dst").agg(F.count_distinct("component").alias("components"))
+    n, m = F.col("nodes"), F.col("edges")
+    return stats.crossJoin(F.broadcast(groups)).select("nodes", "edges", "components", F.coalesce(F.try_divide(2 * m, n * (n - 1)), F.lit(0.0)).alias("density"), F.coalesce(F.try_divide(2 * m, n), F.lit(0.0)).alias("average_degree"), F.coalesce("average_clustering", F.lit(0.0)).alias("average_clustering"))
+
+
+def label_propagation(edges: DataFrame, rounds: int = 20) -> DataFrame:
+    """(id, label): each round a node takes the most frequent label of its neighbours, the smallest of equals, until nothing changes or after `rounds`.
+
+    Nodes take turns by a hash of the id and the round, half of them each time, so that two-coloured graphs settle.
+    """
+    scratch = Scratch(edges.sparkSession, "label-propagation")
+    near = scratch.save(symmetric(edges).select("node", "other"))
+    labels = scratch.save(near.select(F.col("node").alias("id"), F.col("node").alias("label")).distinct())
+    quiet = False
+    for r in range(2 * rounds):
+        votes = near.join(labels.withColumnRenamed("id", "other"), "other").groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
+        top = votes.groupBy("node").agg(F.max("n").alias("n"))
+        chosen = votes.join(top, ["node", "n"]).groupBy("node").agg(F.min("label").alias("new"))
+        turn = F.pmod(F.xxhash64("id") + r, F.lit(2)) == 0
+        new = labels.join(chosen.withColumnRenamed("node", "id"), "id", "left")
+        moved = scratch.save(new.select("id", F.when(turn & F.col("new").isNotNull(), F.col("new")).otherwise(F.col("label")).alias("label"), (turn & F.col("new").isNotNull() & (F.col("new") != F.col("label"))).alias("changed")))
+        changed = moved.where("changed").limit(1).count()
+        scratch.drop(labels)
+        labels = moved
+        if not changed and quiet:
+            break
+        quiet = not changed
+    return labels.select("id", "label")
+
+
+def _by_component(edges: DataFrame) -> DataFrame:
+    groups = connected_components(edges, "src", "dst")
+    return edges.join(groups.withColumnRenamed("id", "src"), "src")
+
+
+def louvain(edges: DataFrame, most_edges: int = 200_000) -> DataFrame:
+    """(id, community): modularity communities within each component, deterministic (nodes in order, the smallest community of equals).
+
+    A component is one task; one with more than `most_edges` edges is not collected but comes out by label propagation.
+    """
+    import pandas as pd
+
+    def moves(part: pd.DataFrame) -> pd.DataFrame:
+        labels = _louvain(list(zip(part.src, part.dst, part.weight, strict=True)))
+        return pd.DataFrame({"id": list(labels), "community": list(labels.values())})
+
+    return _small_or_propagated(edges, most_edges, moves, "community")
+
+
+def _small_or_propagated(edges: DataFrame, most_edges: int, run, name: str) -> DataFrame:
+    scratch = Scratch(edges.sparkSession, name)
+    placed = scratch.save(_by_component(edges))
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    large = scratch.save(sizes.where(F.col("n") > most_edges).select("component"))
+    small = placed.join(large, "component", "left_anti")
+    out = small.groupBy("component").applyInPandas(run, f"id string, {name} string")
+    if large.limit(1).count():
+        out = out.unionByName(label_propagation(placed.join(large, "component", "left_semi").select("src", "dst", "weight")).toDF("id", name))
+    return out
+
+
+def _louvain(edges: list[tuple[str, str, float]]) -> dict[str, str]:
+    names = sorted({x for a, b, _ in edges for x in (a, b)})
+    index = {x: k for k, x in enumerate(names)}
+    graph: list[dict[int, float]] = [{} for _ in names]
+    for a, b, w in edges:
+        i, j = index[a], index[b]
+        graph[i][j] = graph[i].get(j, 0.0) + w
+        graph[j][i] = graph[j].get(i, 0.0) + w
+    member = list(range(len(names)))
+    loops = [0.0] * len(names)
+    total = sum(w for _, _, w in edges) or 1.0
+    while True:
+        n = len(graph)
+        strength = [sum(near.values()) + 2 * loops[i] for i, near in enumerate(graph)]
+        community, weight = list(range(n)), strength[:]
+        improved, again = False, True
+        while again:
+            again = False
+            for i in range(n):
+                links: dict[int, float] = {}
+                for j, w in graph[i].items():
+                    links[community[j]] = links.get(community[j], 0.0) + w
+                own = community[i]
+                weight[own] -= strength[i]
+                gain = lambda c: links.get(c, 0.0) - strength[i] * weight[c] / (2 * total)  # noqa: B023, E731
+                best = min(links, key=lambda c: (-gain(c), c), default=own)  # noqa: B023
+                if gain(best) <= gain(own) + 1e-12:
+                    best = own
+                weight[best] += strength[i]
+                if best != own:
+                    community[i], again, improved = best, True, True
+        if not improved:
+            break
+        order = {c: k for k, c in enumerate(sorted(set(community)))}
+        member = [order[community[m]] for m in member]
+        merged: list[dict[int, float]] = [{} for _ in order]
+        inner = [0.0] * len(order)
+        for i, near in enumerate(graph):
+            a = order[community[i]]
+            inner[a] += loops[i]
+            for j, w in near.items():
+                b = order[community[j]]
+                if a == b:
+                    inner[a] += w / 2
+                else:
+                    merged[a][b] = merged[a].get(b, 0.0) + w
+        graph, loops = merged, inner
+    first: dict[int, str] = {}
+    for x, m in zip(names, member, strict=True):
+        first.setdefault(m, x)
+    return {x: first[m] for x, m in zip(names, member, strict=True)}
+
+
+def hierarchical(edges: DataFrame, connectivity: float = 0.5, most_nodes: int = 1000) -> DataFrame:
+    """(id, cluster): average linkage within each component, distance 1 - weight (1 where there is no edge), cut at 1 - connectivity.
+
+    Components of two nodes pass through whole; those of more than `most_nodes` come out by `louvain`.
+    """
+    import numpy as np
+    import pandas as pd
+
+    scratch = Scratch(edges.sparkSession, "hierarchical")
+    placed = scratch.save(_by_component(edges))
+    sizes = placed.select("component", F.explode(F.array("src", "dst")).alias("id")).distinct().groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    large = scratch.save(sizes.where(F.col("n") > most_nodes).select("component"))
+
+    def linkage(part: pd.DataFrame) -> pd.DataFrame:
+        names = sorted(set(part.src) | set(part.dst))
+        if len(names) <= 2:
+            return pd.DataFrame({"id": names, "cluster": names[0]})
+        index = {x: k for k, x in enumerate(names)}
+        d = np.ones((len(names), len(names)))
+        for a, b, w in zip(part.src, part.dst, part.weight, strict=True):
+            d[index[a], index[b]] = d[index[b], index[a]] = 1 - w
+        np.fill_diagonal(d, np.inf)
+        groups = {k: [k] for k in range(len(names))}
+        while len(groups) > 1:
+            at = int(d.argmin())
+            i, j = sorted(divmod(at, len(names)))
+            if d[i, j] > 1 - connectivity:
+                break
+            ni, nj = len(groups[i]), len(groups[j])
+            row = (ni * d[i] + nj * d[j]) / (ni + nj)
+            row[[i, j]] = np.inf
+            d[i], d[:, i] = row, row
+            d[j], d[:, j] = np.inf, np.inf
+            groups[i] += groups.pop(j)
+        label = {k: names[min(g)] for g in groups.values() for k in g}
+        return pd.DataFrame({"id": names, "cluster": [label[k] for k in range(len(names))]})
+
+    out = placed.join(large, "component", "left_anti").groupBy("component").applyInPandas(linkage, "id string, cluster string")
+    if large.limit(1).count():
+        out = out.unionByName(louvain(placed.join(large, "component", "left_semi").select("src", "dst", "weight")).toDF("id", "cluster"))
+    return out
+
+
+def resolve_conflicts(memberships: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, cluster): an id of several clusters stays in the one to which its edges are heaviest on average, the smallest of equals; clusters without members vanish."""
+    near = symmetric(edges).select(F.col("node").alias("id"), F.col("other").alias("member"), "weight")
+    several = memberships.groupBy("id").agg(F.count_distinct("cluster").alias("n")).where("n > 1").select("id")
+    pull = near.join(several, "id", "left_semi").join(memberships.toDF("member", "cluster"), "member").groupBy("id", "cluster").agg(F.avg("weight").alias("pull"))
+    ranked = memberships.distinct().join(pull, ["id", "cluster"], "left").withColumn("pull", F.round(F.coalesce("pull", F.lit(0.0)), 12))
+    top = ranked.groupBy("id").agg(F.max("pull").alias("pull"))
+    return ranked.join(top, ["id", "pull"]).groupBy("id").agg(F.min("cluster").alias("cluster"))
+
+
+def adjacency(edges: DataFrame) -> DataFrame:
+    """(node, neighbours): a map of neighbour to weight, as an export of the whole graph; a node's list is one row."""
+    return symmetric(edges).groupBy("node").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("other", "weight")))).alias("neighbours"))
