@@ -352,3 +352,118 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         largest_clusters, anomalous_clusters, resolve_conflicts, adjacency_export, label_propagation, louvain, hierarchical, data_quality, stage_throughput, trailing_batch_mean, rate_limit_window, interaction_ratios,
     )
 }
+
+# ---- SQL ----
+
+_TOP = """WITH x AS ({items}), q AS ({queries}),
+top AS (SELECT * FROM (SELECT q.id AS query, x.id AS item, list_cosine_similarity(q.v, x.v) AS similarity,
+  row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, x.v), 12) DESC, x.id) AS rank FROM q, x) WHERE rank <= {k}) """
+_EMBEDDINGS = "SELECT vec_id::VARCHAR AS id, embedding::DOUBLE[] AS v FROM embeddings"
+_VECTORS = "SELECT hash AS id, min(v)::DOUBLE[] AS v FROM vectors WHERE field = '{0}' AND v IS NOT NULL GROUP BY hash"
+_PERSON_TOP = _TOP.format(items=_VECTORS.format("person"), queries="SELECT * FROM x", k=20)
+_CANDIDATES = _PERSON_TOP[:-1] + ", found AS (SELECT query AS hash1, item AS hash2, round(similarity, 6) AS similarity FROM top WHERE similarity >= 0.7 AND query <> item), people AS (SELECT DISTINCT record_id, person FROM record_field_hashes WHERE person IS NOT NULL) "
+_SUBJECTS = _TOP.format(
+    items=f"SELECT * FROM ({_VECTORS.format('composite')}) WHERE id IN (SELECT composite FROM record_field_hashes WHERE subjects IS NOT NULL)",
+    queries=f"SELECT * FROM ({_VECTORS.format('composite')}) WHERE id IN (SELECT composite FROM record_field_hashes WHERE subjects IS NULL)",
+    k=10,
+)
+_MEANS = _TOP.format(items=_EMBEDDINGS, queries="SELECT * FROM x", k=10)[:-1] + ", long AS (SELECT query, similarity AS w, unnest(x.v) AS x, generate_subscripts(x.v, 1) - 1 AS position FROM top JOIN x ON x.id = top.item WHERE similarity >= 0.3) "
+
+_TEXT_FIELDS = ("person", "title", "provision", "subjects", "composite")
+_TRUTH = f"truth AS (SELECT left_id, right_id, max(m) AS label FROM (SELECT least(l, r) AS left_id, greatest(l, r) AS right_id, (lower(trim(regexp_replace(is_match, '{base._SPACE}', ' ', 'g'))) IN ({', '.join(repr(w) for w in base.TRUE_WORDS)}))::INT AS m FROM (SELECT {base._T('left_id')} AS l, {base._T('right_id')} AS r, is_match FROM labelled_pairs) WHERE l IS NOT NULL AND r IS NOT NULL AND is_match IS NOT NULL) GROUP BY ALL)"
+_LEFT_YEARS, _RIGHT_YEARS = base._years_sql("left_person", False), base._years_sql("right_person", False)
+_SIDES = (
+    f"WITH {base.RECORDS_SQL}, {_TRUTH}, texts AS (SELECT record_id, {', '.join(f'{base._ASCII(base._N(f))} AS {f}' for f in _TEXT_FIELDS)} FROM latest), "
+    + f"raw AS (SELECT t.*, {', '.join(f'{s}.{f} AS {n}_{f}' for s, n in (('a', 'left'), ('b', 'right')) for f in _TEXT_FIELDS)} FROM truth t JOIN texts a ON a.record_id = t.left_id JOIN texts b ON b.record_id = t.right_id), "
+    + f"sides AS (SELECT *, {_LEFT_YEARS[0]} AS left_birth, {_LEFT_YEARS[1]} AS left_death, {_RIGHT_YEARS[0]} AS right_birth, {_RIGHT_YEARS[1]} AS right_death FROM raw) "
+)
+_SIMS = ", sims AS (SELECT *, " + ", ".join(f"CASE WHEN left_{f} = right_{f} THEN 1.0 ELSE {base.SIMILARITY_SQL.format(a=f'left_{f}', b=f'right_{f}')} END::DOUBLE AS {f}_sim" for f in _TEXT_FIELDS) + " FROM sides)"
+_H = lambda a, b: f"CASE WHEN {a}_sim > 0 AND {b}_sim > 0 THEN 2 * {a}_sim * {b}_sim / ({a}_sim + {b}_sim) ELSE 0.0 END"
+_FEATURE_SQL = {
+    **{f"{f}_cosine": f"coalesce({f}_sim, 0.0)" for f in _TEXT_FIELDS},
+    "person_levenshtein": "coalesce(person_sim, 0.0)",
+    "person_jaro_winkler": "coalesce(person_sim, 0.0)",
+    **{f"{a}_{b}_harmonic": _H(a, b) for a, b in pairs._HARMONIC},
+    "person_subjects_product": "coalesce(person_sim * subjects_sim, 0.0)",
+    "composite_subjects_ratio": "CASE WHEN composite_sim IS NOT NULL AND subjects_sim > 0 THEN least(composite_sim / subjects_sim, 10.0) ELSE 0.0 END",
+    "birth_year_match": "coalesce((left_birth = right_birth)::INT, 0)::DOUBLE",
+    "death_year_match": "coalesce((left_death = right_death)::INT, 0)::DOUBLE",
+    "has_birth_death_years": "((left_birth IS NOT NULL OR left_death IS NOT NULL) AND (right_birth IS NOT NULL OR right_death IS NOT NULL))::INT::DOUBLE",
+}
+_FEATURES = _SIDES[:-1] + _SIMS + ", features AS (SELECT left_id || '|' || right_id AS pair_id, label, " + ", ".join(f"({_FEATURE_SQL[f]})::DOUBLE AS {f}" for f in pairs.FEATURES) + " FROM sims) "
+_Z = " + ".join(f"{w} * {f}" for f, w in WEIGHTS.items())
+_SCORED = _FEATURES[:-1] + f", probable AS (SELECT pair_id, label, 1 / (1 + exp(-({INTERCEPT} + {_Z}))) AS p FROM features), scored AS (SELECT pair_id, label, round(p, 9) AS probability, (p >= {THRESHOLD})::INT AS prediction FROM probable) "
+_COUNTS = _SCORED[:-1] + ", counts AS (SELECT count(*) FILTER (label = 1 AND prediction = 1) AS tp, count(*) FILTER (label = 0 AND prediction = 1) AS fp, count(*) FILTER (label = 0 AND prediction = 0) AS tn, count(*) FILTER (label = 1 AND prediction = 0) AS fn FROM scored) "
+_CURVE = _SCORED[:-1] + ", curve AS (SELECT DISTINCT probability AS threshold, sum(label) OVER w AS tp, sum(1 - label) OVER w AS fp, sum(label) OVER () AS p, sum(1 - label) OVER () AS n FROM scored WINDOW w AS (ORDER BY probability DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) "
+_LONG = _FEATURES[:-1] + ", long AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS value, label FROM features" for f in pairs.FEATURES) + ") "
+_R = "CASE WHEN stddev_pop({a}) > 1e-12 AND stddev_pop({b}) > 1e-12 THEN covar_pop({a}, {b}) / (stddev_pop({a}) * stddev_pop({b})) ELSE 0.0 END"
+_CORRELATIONS = _FEATURES[:-1] + ", correlation AS (" + " UNION ALL ".join(f"SELECT '{a}' AS feature1, '{b}' AS feature2, round({_R.format(a=a, b=b)}, 6) AS r FROM features" for i, a in enumerate(pairs.FEATURES) for b in pairs.FEATURES[i + 1 :]) + ") "
+_IMPORTANCE = _LONG[:-1] + f", importance AS (SELECT feature, abs({_R.format(a='value', b='label')}) AS importance FROM long GROUP BY feature) "
+
+_EDGES = f"edges AS (SELECT least(a, b) AS src, greatest(a, b) AS dst, max(similarity) AS weight FROM (SELECT {base._T('record1_id')} AS a, {base._T('record2_id')} AS b, similarity FROM candidate_pairs) WHERE a <> b AND similarity >= {LEAST_EDGE} GROUP BY ALL), near AS (SELECT src AS node, dst AS other, weight FROM edges UNION ALL SELECT dst, src, weight FROM edges)"
+
+
+def _reached(name: str, near: str) -> str:
+    return f"{name}_r(id, other) AS (SELECT node, node FROM {near} UNION SELECT n.other, r.other FROM {name}_r r JOIN {near} n ON n.node = r.id WHERE r.other < n.other), {name} AS (SELECT id, min(other) AS component FROM {name}_r GROUP BY id)"
+
+
+_GRAPH = f"WITH RECURSIVE {_EDGES}, {_reached('groups', 'near')} "
+_SIZE = _GRAPH[:-1] + ", sizes AS (SELECT component, count(*) AS size FROM groups GROUP BY component) "
+_CUBE = ", ".join(f"round(quantile_cont(size, {q}), 6) AS {n}" for q, n in ((0.1, "q10"), (0.25, "q25"), (0.5, "median"), (0.75, "q75"), (0.9, "q90")))
+
+SQL: dict[str, str] = {
+    "knn_topk": _TOP.format(items=_EMBEDDINGS, queries="SELECT * FROM x", k=20) + "SELECT query, item, round(similarity, 6) AS similarity, rank FROM top",
+    "knn_candidates": _CANDIDATES + "SELECT hash1, hash2, similarity FROM found",
+    "candidate_records": _CANDIDATES + "SELECT a.record_id AS record1_id, hash1 AS record1_hash, hash2 AS record2_hash, similarity, b.record2_id FROM found JOIN people a ON a.person = hash1 LEFT JOIN (SELECT person, min(record_id) AS record2_id FROM people GROUP BY person) b ON b.person = hash2",
+    "candidate_records_all": _CANDIDATES + "SELECT a.record_id AS record1_id, hash1 AS record1_hash, hash2 AS record2_hash, similarity, b.record_id AS record2_id FROM found JOIN people a ON a.person = hash1 JOIN people b ON b.person = hash2",
+    "imputation_nearest": _SUBJECTS[:-1] + """, value AS (SELECT composite, min(subjects) AS value FROM record_field_hashes WHERE subjects IS NOT NULL GROUP BY composite),
+  votes AS (SELECT query, value, count(*) AS votes, min(rank) AS rank, max(similarity) AS similarity FROM top JOIN value ON composite = item WHERE similarity >= 0.3 GROUP BY ALL)
+  SELECT query, value, votes, round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY votes DESC, rank) AS place FROM votes) WHERE place = 1""",
+    "imputation_average_vector": _MEANS + "SELECT query, position, round(avg(x), 6) AS value FROM long GROUP BY ALL",
+    "imputation_weighted_vector": _MEANS + "SELECT query, position, round(sum(w * x) / sum(w), 6) AS value FROM long GROUP BY ALL",
+    "embedded_strings": "SELECT DISTINCT hash, 64 AS dimensions FROM (SELECT DISTINCT hash, value FROM unique_strings_by_field WHERE field_type = 'title' AND value IS NOT NULL)",
+    "ground_truth": f"WITH {_TRUTH} SELECT left_id, right_id, label = 1 AS match FROM truth",
+    "prefilter_decisions": _SIDES + f"SELECT left_id, right_id, label, CASE WHEN left_person = right_person AND (left_birth IS NOT NULL OR left_death IS NOT NULL) THEN true WHEN left_composite = right_composite THEN true WHEN left_person IS NOT NULL AND right_person IS NOT NULL AND NOT coalesce({base.SIMILARITY_SQL.format(a='left_person', b='right_person')} >= 0.3, false) THEN false END AS decision FROM sides",
+    "pair_features_sql": _FEATURES + "SELECT pair_id, label, " + ", ".join(f"round({f}, 6) AS {f}" for f in pairs.FEATURES) + " FROM features",
+    "split_sizes": _FEATURES + "SELECT label, part, n FROM (SELECT label, 'train' AS part, floor(count(*) * 0.7)::BIGINT AS n FROM features GROUP BY label UNION ALL SELECT label, 'test', count(*) - floor(count(*) * 0.7)::BIGINT FROM features GROUP BY label) WHERE n > 0",
+    "standardized_features": _FEATURES + "SELECT pair_id, " + ", ".join(f"round(({f} - avg({f}) OVER ()) / CASE WHEN stddev_pop({f}) OVER () > 1e-12 THEN stddev_pop({f}) OVER () ELSE 1.0 END, 6) AS {f}" for f in pairs.FEATURES) + " FROM features",
+    "score_pairs": _SCORED + "SELECT pair_id, label, round(probability, 6) AS probability, prediction FROM scored",
+    "confusion_matrix": _COUNTS + "SELECT * FROM counts",
+    "classification_metrics": _COUNTS[:-1] + ", m AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, coalesce(tp / nullif(tp + fn, 0), 0) AS recall FROM counts) SELECT tp, fp, tn, fn, round(precision, 6) AS precision, round(recall, 6) AS recall, round(coalesce(2 * precision * recall / nullif(precision + recall, 0), 0), 6) AS f1, round(coalesce((tp + tn) / nullif(tp + fp + tn + fn, 0), 0), 6) AS accuracy, round(coalesce(fp / nullif(fp + tn, 0), 0), 6) AS fpr, round(coalesce(fn / nullif(fn + tp, 0), 0), 6) AS fnr FROM m",
+    "roc_curve": _CURVE + "SELECT threshold, round(coalesce(tp / nullif(p, 0), 0), 6) AS tpr, round(coalesce(fp / nullif(n, 0), 0), 6) AS fpr FROM curve",
+    "pr_curve": _CURVE + "SELECT threshold, round(tp / (tp + fp), 6) AS precision, round(coalesce(tp / nullif(p, 0), 0), 6) AS recall FROM curve",
+    "roc_auc": _SCORED + "SELECT round(coalesce(avg(CASE WHEN a.probability > b.probability THEN 1.0 WHEN a.probability = b.probability THEN 0.5 ELSE 0.0 END), 0), 6) AS auc FROM scored a JOIN scored b ON a.label = 1 AND b.label = 0",
+    "threshold_marker": _CURVE + f"SELECT threshold, round(coalesce(tp / nullif(p, 0), 0), 6) AS tpr, round(coalesce(fp / nullif(n, 0), 0), 6) AS fpr FROM curve ORDER BY abs(threshold - {THRESHOLD}), threshold LIMIT 1",
+    "misclassified": _SCORED + "SELECT pair_id, label, prediction, CASE WHEN label = 1 THEN 'false_negative' ELSE 'false_positive' END AS kind FROM scored WHERE label <> prediction",
+    "importance_share": _IMPORTANCE + "SELECT feature, round(importance, 6) AS importance, round(coalesce(importance / nullif(sum(importance) OVER (), 0), 0), 6) AS share FROM importance",
+    "feature_describe": _LONG + "SELECT feature, count(value) AS count, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max FROM long GROUP BY feature",
+    "feature_correlation": _CORRELATIONS + "SELECT * FROM correlation",
+    "correlated_pairs": _CORRELATIONS + "SELECT * FROM correlation WHERE abs(r) > 0.8",
+    "label_correlation": _IMPORTANCE + "SELECT feature, round(importance, 6) AS importance FROM importance",
+    "constant_features": _LONG + "SELECT feature FROM (SELECT feature, value FROM long UNION ALL SELECT 'constant_one', 1.0 FROM features) GROUP BY feature HAVING min(value) = max(value)",
+    "low_variance": _LONG + "SELECT feature, stddev_pop(value) AS std, max(value) - min(value) AS range FROM (SELECT feature, value FROM long UNION ALL SELECT 'constant_one', 1.0 FROM features) GROUP BY feature HAVING stddev_pop(value) < 0.01 AND max(value) - min(value) < 0.1",
+    "non_finite": _LONG + "SELECT feature, count(*) FILTER (isnan(value)) AS nan_values, count(*) FILTER (isinf(value)) AS infinite_values FROM long GROUP BY feature",
+    "outlier_rows": _FEATURES[:-1] + ", z AS (SELECT pair_id, " + " + ".join(f"coalesce((abs({f} - avg({f}) OVER ()) > 3 * nullif(CASE WHEN stddev_samp({f}) OVER () > 1e-12 THEN stddev_samp({f}) OVER () END, 0))::INT, 0)" for f in pairs.FEATURES) + " AS outlying FROM features) SELECT pair_id, outlying FROM z WHERE outlying > 0",
+    "duplicate_vectors": _FEATURES + "SELECT sum(n)::BIGINT AS rows, count(*) AS distinct_rows, round(1 - count(*) / sum(n), 6) AS duplicate_share FROM (SELECT count(*) AS n FROM (SELECT " + ", ".join(f"round({f}, 6) AS {f}" for f in pairs.FEATURES) + " FROM features) GROUP BY " + ", ".join(pairs.FEATURES) + ")",
+    "build_edges": f"WITH {_EDGES} SELECT src, dst, weight FROM edges",
+    "transitive_edges": f"WITH {_EDGES} SELECT x.other AS src, y.other AS dst, round(max(x.weight * y.weight), 6) AS weight FROM near x JOIN near y ON x.node = y.node AND x.other < y.other LEFT JOIN edges e ON e.src = x.other AND e.dst = y.other WHERE x.weight * y.weight >= 0.85 AND e.src IS NULL GROUP BY ALL",
+    "connected_components": _GRAPH + "SELECT id, component FROM groups",
+    "split_oversize": _SIZE[:-1] + f", large AS (SELECT g.id FROM groups g JOIN sizes s USING (component) WHERE s.size > 10), inner_near AS (SELECT n.* FROM near n JOIN large l ON l.id = n.node WHERE n.weight >= 0.93), {_reached('parts', 'inner_near')} SELECT g.id, CASE WHEN l.id IS NULL THEN g.component ELSE coalesce(p.component, g.id) END AS component FROM groups g LEFT JOIN large l ON l.id = g.id LEFT JOIN parts p ON p.id = g.id",
+    "degree_distribution": f"WITH {_EDGES} SELECT degree, count(*) AS nodes FROM (SELECT node, count(*) AS degree FROM near GROUP BY node) GROUP BY degree",
+    "weight_histogram": "SELECT round_even(similarity::DECIMAL(12, 6) * 10, 0)::INT AS tenths, count(*) AS n FROM candidate_pairs WHERE similarity IS NOT NULL GROUP BY ALL",
+    "graph_stats": _SIZE[:-1] + """, degree AS (SELECT node, count(*) AS k FROM near GROUP BY node),
+  closed AS (SELECT x.node, count(*) AS t FROM near x JOIN near y ON x.node = y.node AND x.other < y.other JOIN edges e ON e.src = x.other AND e.dst = y.other GROUP BY x.node),
+  c AS (SELECT avg(CASE WHEN k > 1 THEN 2 * coalesce(t, 0) / (k * (k - 1)) ELSE 0.0 END) AS a FROM degree LEFT JOIN closed USING (node)), n AS (SELECT count(*) AS nodes FROM degree), m AS (SELECT count(*) AS edges FROM edges), g AS (SELECT count(*) AS components FROM sizes)
+  SELECT nodes, edges, components, round(coalesce(2 * edges / nullif(nodes * (nodes - 1), 0), 0), 9) AS density, round(coalesce(2 * edges / nullif(nodes, 0), 0), 9) AS average_degree, round(coalesce(a, 0), 9) AS average_clustering FROM n, m, g, c""",
+    "cluster_stats": _SIZE + f"SELECT count(*) AS clusters, sum(size)::BIGINT AS members, min(size) AS smallest, max(size) AS largest, round(avg(size), 6) AS mean, round(stddev_pop(size), 6) AS std, {_CUBE}, count(*) FILTER (size = 1) AS singletons FROM sizes",
+    "cluster_size_buckets": _SIZE + "SELECT CASE WHEN size <= 1 THEN '1' WHEN size <= 5 THEN '2-5' WHEN size <= 10 THEN '6-10' WHEN size <= 20 THEN '11-20' WHEN size <= 50 THEN '21-50' ELSE '51+' END AS bucket, count(*) AS clusters, sum(size)::BIGINT AS members FROM sizes GROUP BY ALL",
+    "largest_clusters": _SIZE + "SELECT component, size FROM sizes ORDER BY size DESC, component LIMIT 10",
+    "anomalous_clusters": _SIZE + "SELECT component, size FROM sizes WHERE size > 50",
+    "resolve_conflicts": f"WITH {_EDGES}, m AS (SELECT node AS id, string_split(other, '#')[1] AS cluster FROM near UNION SELECT node, string_split(node, '#')[1] FROM near), several AS (SELECT id FROM m GROUP BY id HAVING count(*) > 1), pull AS (SELECT n.node AS id, m.cluster, round(avg(n.weight), 12) AS pull FROM near n JOIN several s ON s.id = n.node JOIN m ON m.id = n.other GROUP BY ALL) SELECT id, cluster FROM (SELECT m.id, m.cluster, row_number() OVER (PARTITION BY m.id ORDER BY coalesce(p.pull, 0) DESC, m.cluster) AS place FROM m LEFT JOIN pull p ON p.id = m.id AND p.cluster = m.cluster) WHERE place = 1",
+    "adjacency_export": f"WITH {_EDGES} SELECT node, string_agg(other, ',' ORDER BY other) AS neighbours FROM near GROUP BY node",
+    "data_quality": base._RECORD_CELLS + "SELECT field, count(*) AS total, count(DISTINCT hash) AS distinct_values, round(100 * count(DISTINCT hash) / count(*), 6) AS unique_percent FROM cells WHERE hash IS NOT NULL GROUP BY field",
+    "stage_throughput": "SELECT event_type, count(*) AS records, epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6 AS seconds, round(coalesce(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 0), 9) AS per_second FROM events GROUP BY event_type",
+    "trailing_batch_mean": "SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS trailing_mean FROM events",
+    "rate_limit_window": "SELECT event_id, round(sum(value) OVER w, 4) AS within_window, count(*) OVER w AS events_within FROM events WINDOW w AS (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW)",
+    "interaction_ratios": _FEATURES + "SELECT pair_id, round(CASE WHEN subjects_cosine > 0 THEN least(composite_cosine / subjects_cosine, 10.0) ELSE 0.0 END, 6) AS ratio FROM features",
+}
