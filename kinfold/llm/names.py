@@ -173,8 +173,9 @@ def _structure(total: int):
         t = info["token"]
         if t in FULL_FORM:
             return FULL_FORM[t]
-        near = [v for v in info["variants"] if v["n_right"] >= max(5, TIMES * info["n"]) and v["n_right"] > v["n_left"]]
-        return FULL_FORM.get(near[0]["token"], near[0]["token"]) if len(near) == 1 else t
+        near = sorted((v for v in info["variants"] if v["n_right"] >= max(5, TIMES * info["n"]) and v["n_right"] > v["n_left"]), key=lambda v: -v["n_right"])
+        clear = near and (len(near) == 1 or near[0]["n_right"] >= 3 * near[1]["n_right"])
+        return FULL_FORM.get(near[0]["token"], near[0]["token"]) if clear else t
 
     def one(organisation: bool, hint: str, infos: list[dict]) -> tuple[list[dict], list[str], list[str], list[float]]:
         infos = sorted(infos, key=lambda x: x["pos"])
@@ -187,8 +188,9 @@ def _structure(total: int):
             elif right:
                 at = -1
                 scores = [surname_like(x) if len(x["token"]) > 1 else -1 for x in infos]
-                if len(left) == 1 and scores[0] < -0.8 and max(scores[1:]) > 0.5:
-                    at = scores.index(max(scores[1:]))
+                behind = max(scores[len(left) :])
+                if max(scores[: len(left)]) < -0.5 and behind > 0.2:
+                    at = len(left) + scores[len(left) :].index(behind)
             else:
                 scores = [surname_like(x) if len(x["token"]) > 1 else -1.5 for x in infos]
                 at = scores.index(max(scores))
@@ -262,7 +264,7 @@ def _compatible(a: str, b: str):
     """Given names agree as far as both have them: equal, an initial of the other, or near in spelling."""
     both = F.least(F.size(a), F.size(b))
     x, y = (lambda z: z["0"]), (lambda z: z["1"])
-    agree = lambda z: (x(z) == y(z)) | (((F.length(x(z)) == 1) | (F.length(y(z)) == 1)) & (F.substring(x(z), 1, 1) == F.substring(y(z), 1, 1))) | ((F.length(x(z)) > 3) & (F.length(y(z)) > 3) & (F.levenshtein(x(z), y(z)) <= 2))
+    agree = lambda z: (x(z) == y(z)) | (((F.length(x(z)) == 1) | (F.length(y(z)) == 1)) & (F.substring(x(z), 1, 1) == F.substring(y(z), 1, 1))) | ((F.length(x(z)) > 2) & (F.length(y(z)) > 2) & (F.levenshtein(x(z), y(z)) <= F.when((F.length(x(z)) > 3) & (F.length(y(z)) > 3), 2).otherwise(1)))
     return F.forall(F.arrays_zip(F.slice(F.col(a), F.lit(1), both).alias("0"), F.slice(F.col(b), F.lit(1), both).alias("1")), agree)
 
 
@@ -309,6 +311,13 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     same = (F.col("label_a") == F.col("label_b")) & (F.col("birth_a") == F.col("birth_b")) & (F.col("initial_a") == F.col("initial_b")) & (F.col("name_a") < F.col("name_b"))
     links = a.join(b, same).where(deaths & _compatible("given_a", "given_b")).select(F.col("name_a").alias("one"), F.col("name_b").alias("two"))
 
+    # surnames two edits apart: with the same full given names and years, of which there are two or a second given name
+    sure = dated.where("alternative = 0 AND length(label) > 5").where(F.forall("given", lambda g: F.length(g) > 1) & ((F.col("death").isNotNull() & (F.size("given") > 0)) | (F.size("given") > 1)))
+    sure = sure.select("birth", F.coalesce("death", F.lit(0)).alias("death"), "sig", F.substring("label", 1, 1).alias("initial"), "label", "name")
+    a, b = (sure.withColumnRenamed("label", f"label_{s}").withColumnRenamed("name", f"name_{s}") for s in "ab")
+    apart = a.join(b, ["birth", "death", "sig", "initial"]).where((F.col("name_a") < F.col("name_b")) & (F.col("label_a") != F.col("label_b")) & (F.levenshtein("label_a", "label_b", 2) >= 0))
+    links = links.unionByName(apart.select(F.col("name_a").alias("one"), F.col("name_b").alias("two")))
+
     # names without dates: by signature, where what they fit is one entity; level 0 is the best fit
     undated = rows.where("(birth IS NULL OR organisation) AND NOT nick").withColumn("full", full)
     proxy = F.concat_ws("\t", "label", F.col("birth").cast("string"))
