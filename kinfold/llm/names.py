@@ -329,7 +329,7 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     fits = (
         whole.select("name", "label", "sig").join(exact, ["label", "sig"]).withColumn("level", F.lit(0))
         .unionByName(whole.select("name", "label", "sig").join(shorter, ["label", "sig"]).withColumn("level", F.lit(1)))
-        .unionByName(longer.join(exact, ["label", "sig"]).withColumn("level", F.lit(2)))
+        .unionByName(_agreeing(longer.join(exact.where("low = high"), ["label", "sig"]), whole, of_dated).withColumn("level", F.lit(2)))
     )
     first = scratch.save(_unambiguous(fits))
 
@@ -368,6 +368,13 @@ def _shorter_forms(names: DataFrame) -> DataFrame:
     return forms.where("sig <> own OR instr(proxy, '\t\t') = 0").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
 
 
+def _agreeing(fits: DataFrame, names: DataFrame, dated: DataFrame) -> DataFrame:
+    """Fits of names that are longer than the dated name they fit, where no other name of the same label and year contradicts."""
+    given = fits.join(names.select("name", "label", "given"), ["name", "label"])
+    against = given.join(dated.select(F.col("proxy").alias("low"), F.col("given").alias("other")), "low").where(~_compatible("given", "other"))
+    return fits.join(against.select("name", "label", "low").distinct(), ["name", "label", "low"], "left_anti")
+
+
 def _unambiguous(fits: DataFrame, *more: str) -> DataFrame:
     """(name, witness) of names whose best level has one entity only."""
     by_level = fits.groupBy("name", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("witness").alias("witness"))
