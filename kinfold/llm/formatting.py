@@ -10,8 +10,8 @@ from kinfold.scratch import Scratch
 
 
 def canonical(c: Column) -> Column:
-    """Letters and digits only, without letter case (upper case first, so that letters with a longer upper case agree)."""
-    return F.regexp_replace(F.lower(F.upper(c)), r"[^\p{L}\p{N}]+", "")
+    """Letters and digits only, without letter case; the sharp s, of which the upper case is SS, is ss."""
+    return F.regexp_replace(F.regexp_replace(F.lower(c), "ß", "ss"), r"[^\p{L}\p{N}]+", "")
 
 
 def formatting_groups(values: DataFrame, group: list[str], key: str, value: str, split_when: Column, separator: str = "|", only_repeated: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ WITH single AS (SELECT field_type, hash, min(value) AS value FROM unique_strings
 coded AS (
   SELECT field_type, hash, list_sort(list_filter(list_transform(
     CASE WHEN field_type = 'composite' THEN string_split(value, '|') ELSE [value] END,
-    lambda x: regexp_replace(lower(upper(x)), '[^\p{L}\p{N}]+', '', 'g')), lambda x: x <> '')) AS form
+    lambda x: regexp_replace(replace(lower(x), 'ß', 'ss'), '[^\p{L}\p{N}]+', '', 'g')), lambda x: x <> '')) AS form
   FROM single WHERE value IS NOT NULL),
 grouped AS (SELECT *, min(hash) OVER w AS group_hash, count(*) OVER w AS copies FROM coded WHERE len(form) > 0
             WINDOW w AS (PARTITION BY field_type, form))
