@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import product
 from math import log
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.lookalike import normalize_text
 from kinfold.operators.graph import connected_components
+from kinfold.operators.skew import lookup_join
 from kinfold.scratch import Scratch
 
 # English and some other short forms of given names, by the full name; fixed values.
@@ -72,6 +74,7 @@ def one_edit(a: str, b: str) -> bool:
     return a[k:] == b[k + 1 :]
 
 
+@lru_cache(maxsize=100_000)
 def _organisation(word: str) -> str | None:
     if (known := ORGANISATION_FORM.get(word)) or len(word) < 5:
         return known
@@ -147,7 +150,7 @@ def token_variants(tokens: DataFrame, scratch: Scratch) -> DataFrame:
     return pairs.where(((edits >= 0) & (edits <= 1)) | ((edits == 2) & (F.length("token") == F.length("other")) & (letters("token") == letters("other"))))
 
 
-_SHAPE = "name string, organisation boolean, forms array<struct<label:string,given:array<string>,nick:boolean>>, given array<string>, birth int, death int, tokens array<string>, weights array<double>"
+_SHAPE = "name bigint, organisation boolean, forms array<struct<label:string,given:array<string>,nick:boolean>>, given array<string>, birth int, death int, tokens array<string>, weights array<double>"
 
 
 def _other_given(given: list[str]) -> list[tuple[list[str], bool]]:
@@ -269,7 +272,7 @@ def _compatible(a: str, b: str):
 
 
 def name_entities(values: DataFrame, key: str, value: str, least_similarity: float = 0.6) -> DataFrame:
-    """(key, entity): keys whose names denote the same person or organisation have the same entity.
+    """(key, entity): keys whose names denote the same person or organisation have the same entity, the smallest of the keys.
 
     Differences in case, accents, punctuation, look-alike characters, order of the parts, titles, abbreviations, short
     forms, initials, left-out second names or dates, and single typing errors do not matter; names with different years
@@ -283,8 +286,11 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     scratch = Scratch(values.sparkSession, "names")
     single = values.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.min(value).alias("value"))
     parsed = scratch.save(normalize_text(single, "value", "form").select("id", "form").mapInArrow(_parse, _PARSED))
-    names = scratch.save(parsed.groupBy("name").agg(*[F.first(c).alias(c) for c in ("organisation", "left", "right", "hint", "birth", "death")]))
+    # each distinct name is a number from here on
+    names = scratch.save(parsed.groupBy(F.col("name").alias("spelling")).agg(*[F.first(c).alias(c) for c in ("organisation", "left", "right", "hint", "birth", "death")]).withColumn("name", F.monotonically_increasing_id()))
     total = names.count()
+    members = scratch.save(parsed.select("id", F.col("name").alias("spelling")).join(names.select("name", "spelling"), "spelling").select("id", "name"))
+    names = names.drop("spelling")
 
     comma = ~F.col("organisation") & (F.size("right") > 0)
     side = lambda c, k: F.transform(F.col(c), lambda t, i: F.struct(F.lit(k).alias("side"), (i + k * 1000).alias("pos"), t.alias("token")))
@@ -358,8 +364,9 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     side_of = lambda s: shaped.select(F.col("name").alias("one" if s == "a" else "two"), F.col("tokens").alias(f"tokens_{s}"), F.col("weights").alias(f"weights_{s}"))
     checked = links.join(side_of("a"), "one").join(side_of("b"), "two").where(_similarity("tokens_a", "weights_a", "tokens_b", "weights_b") >= least_similarity).select("one", "two")
     groups = connected_components(scratch.save(checked), "one", "two")
-    entities = parsed.select("id", "name").join(groups.select(F.col("id").alias("name"), "component"), "name", "left")
-    return entities.select(F.col("id").alias(key), F.coalesce("component", "name").alias("entity"))
+    entities = members.join(groups.select(F.col("id").alias("name"), "component"), "name", "left").select("id", F.coalesce("component", "name").alias("component"))
+    entities = scratch.save(entities)
+    return lookup_join(entities, entities.groupBy("component").agg(F.min("id").alias("entity")), ["component"], "id").select(F.col("id").alias(key), "entity")
 
 
 def _shorter_forms(names: DataFrame) -> DataFrame:
@@ -385,8 +392,7 @@ def _unambiguous(fits: DataFrame, *more: str) -> DataFrame:
 def name_pairs(values: DataFrame, key: str, value: str) -> DataFrame:
     """(key1, key2), key1 < key2, of the same entity. The entities are what to keep at scale; pairs of a large entity are many."""
     scratch = Scratch(values.sparkSession, "name-pairs")
-    entities = name_entities(values, key, value).withColumn("e", F.xxhash64("entity"))
-    entities = scratch.save(entities)
-    shared = entities.groupBy("e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("e")
-    several = scratch.save(entities.join(shared, "e", "left_semi"))
-    return several.withColumnRenamed(key, "key1").join(several.withColumnRenamed(key, "key2"), ["e", "entity"]).where("key1 < key2").select("key1", "key2")
+    entities = scratch.save(name_entities(values, key, value))
+    shared = entities.where(F.col(key) != F.col("entity")).select("entity").distinct()
+    several = scratch.save(entities.join(shared, "entity", "left_semi"))
+    return several.withColumnRenamed(key, "key1").join(several.withColumnRenamed(key, "key2"), "entity").where("key1 < key2").select("key1", "key2")
