@@ -306,7 +306,7 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     shaped = scratch.save(shaped.mapInArrow(_structure(total), _SHAPE))
 
     rows = shaped.select("name", "organisation", "birth", "death", F.posexplode("forms").alias("alternative", "form")).select("name", "organisation", "birth", "death", "alternative", "form.label", "form.given", "form.nick")
-    rows = scratch.save(rows.withColumn("sig", F.array_join("given", " ")))
+    rows = scratch.save(rows.withColumn("sig", F.array_join("given", " ")).withColumn("shorter", _patterns("given")))
     full = F.col("organisation") | ((F.size("given") > 0) & F.forall("given", lambda g: F.length(g) > 1)) | (F.size("given") == 0)
 
     # dated names: the same label, year of birth and initial
@@ -327,11 +327,11 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     # names without dates: by signature, where what they fit is one entity; level 0 is the best fit
     undated = rows.where("(birth IS NULL OR organisation) AND NOT nick").withColumn("full", full)
     proxy = F.concat_ws("\t", "label", F.col("birth").cast("string"))
-    of_dated = scratch.save(dated.where("NOT nick").select("label", "sig", "given", proxy.alias("proxy"), "name"))
+    of_dated = scratch.save(dated.where("NOT nick").select("label", "sig", "given", "shorter", proxy.alias("proxy"), "name"))
     exact = of_dated.where("sig <> ''").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
     shorter = _shorter_forms(of_dated)
-    whole = undated.where("full AND NOT organisation AND sig <> ''").select("name", "label", "sig", "given")
-    longer = whole.select("name", "label", F.explode(_patterns("given")).alias("sig")).join(whole.select("name", "label", F.col("sig").alias("own")), ["name", "label"]).where("sig <> own").select("name", "label", "sig")
+    whole = undated.where("full AND NOT organisation AND sig <> ''").select("name", "label", "sig", "given", "shorter")
+    longer = whole.select("name", "label", F.col("sig").alias("own"), F.explode("shorter").alias("sig")).where("sig <> own").select("name", "label", "sig")
     fits = (
         whole.select("name", "label", "sig").join(exact, ["label", "sig"]).withColumn("level", F.lit(0))
         .unionByName(whole.select("name", "label", "sig").join(shorter, ["label", "sig"]).withColumn("level", F.lit(1)))
@@ -340,14 +340,14 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     first = scratch.save(_unambiguous(fits))
 
     # names without dates that fit no dated one, and organisations: by label and signature
-    plain = scratch.save(undated.where("full").join(first.select("name"), "name", "left_anti").select("name", "label", "sig", "given", "organisation", "alternative"))
+    plain = scratch.save(undated.where("full").join(first.select("name"), "name", "left_anti").select("name", "label", "sig", "given", "shorter", "organisation", "alternative"))
     spelt = plain.where("alternative = 0").groupBy("organisation", "label", "sig").agg(F.min("name").alias("witness"), F.count(F.lit(1)).alias("n"))
     own = plain.join(spelt, ["organisation", "label", "sig"]).where("name <> witness")
     second = own.groupBy("name").agg(F.min_by("witness", F.struct("alternative", "label")).alias("witness"))
 
     # initials and left-out names: dated names and the full names without dates together; first those full names that
     # fit one longer name, then what is shorter still, for which the two count as one
-    of_plain = plain.where("NOT organisation AND alternative = 0 AND sig <> ''").select("label", "sig", "given", F.concat_ws("\t", "label", F.lit(""), "sig").alias("proxy"), "name")
+    of_plain = plain.where("NOT organisation AND alternative = 0 AND sig <> ''").select("label", "sig", "given", "shorter", F.concat_ws("\t", "label", F.lit(""), "sig").alias("proxy"), "name")
     fuller = _shorter_forms(of_dated.unionByName(of_plain))
     shortened = scratch.save(_unambiguous(plain.where("NOT organisation AND sig <> ''").select("name", "label", "sig").join(fuller, ["label", "sig"]).withColumn("level", F.lit(0)), "low"))
     resolved = of_plain.join(shortened.select("name", "low"), "name", "left").withColumn("proxy", F.coalesce("low", "proxy")).select(*of_plain.columns)
@@ -371,7 +371,7 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
 
 def _shorter_forms(names: DataFrame) -> DataFrame:
     """(label, sig, low, high, witness): for each way to write a name shorter, whether it fits one entity (low = high). A full name without dates does not answer for itself."""
-    forms = names.select("label", F.col("sig").alias("own"), F.explode(_patterns("given")).alias("sig"), "proxy", "name")
+    forms = names.select("label", F.col("sig").alias("own"), F.explode("shorter").alias("sig"), "proxy", "name")
     return forms.where("sig <> own OR instr(proxy, '\t\t') = 0").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
 
 
