@@ -26,13 +26,13 @@ def min_propagation(edges: DataFrame, scratch: Scratch) -> DataFrame:
     put together at the end, from the smallest on.
     """
     maps: list[DataFrame] = []
-    current, own = edges, False
-    while current.limit(1).count():
+    current, own, left = edges, False, edges.limit(1).count()
+    while left:
         smallest = _both_ways(current).groupBy("a").agg(F.min("b").alias("b"))
         step = scratch.save(smallest.select("a", F.least("a", "b").alias("b")))
         maps.append(step)
         moved = current.join(step.select(F.col("a").alias("u"), F.col("b").alias("ru")), "u").join(step.select(F.col("a").alias("v"), F.col("b").alias("rv")), "v")
-        following = scratch.save(undirected(moved, "ru", "rv"))
+        following, left = scratch.save_counted(undirected(moved, "ru", "rv"))
         if own:
             scratch.drop(current)
         current, own = following, True

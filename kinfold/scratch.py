@@ -10,7 +10,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LEFTOVERS: dict[str, object] = {}
 
@@ -51,7 +52,6 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
-        self.paths: dict[int, str] = {}
         _LEFTOVERS[self.root] = spark
 
     def save(self, df: DataFrame) -> DataFrame:
@@ -59,9 +59,14 @@ class Scratch:
         path = f"{self.root}/{self.count}"
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
         out._scratch_path = path
         return out
 
+    def save_counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The saved table and its rows, counted as they are written."""
+        seen = Observation()
+        out = self.save(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        return out, int(seen.get["n"])
+
     def drop(self, df: DataFrame) -> None:
         _remove(self.spark, df._scratch_path)
