@@ -37,8 +37,7 @@ def _peel(edges: DataFrame, scratch: Scratch, least_growth: float) -> tuple[Data
         reached = ends.join(frontier, "a", "left_semi").select(F.col("b").alias("a")).distinct()
         for layer in layers[-2:]:  # neighbours of a layer lie in it, the one before and the next
             reached = reached.join(layer, "a", "left_anti")
-        reached = scratch.save(reached)
-        new = reached.count()
+        reached, new = scratch.save_counted(reached)
         if new == 0 or new < least_growth * size:
             tail = reached if new else None
             break
