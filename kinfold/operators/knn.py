@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from kinfold.scratch import Scratch
 
-#: Rows of a block. Two blocks and the product of a slice of them are all that a task holds.
-BLOCK = 8_192
+#: Rows of a block at least and at most. Two blocks and the product of a slice of them are all that a task holds.
+BLOCK, LARGEST = 8_192, 131_072
 
 
 def exact_top_k(queries: DataFrame, items: DataFrame, key: str, vector: str, k: int, block: int = BLOCK) -> DataFrame:
@@ -23,7 +23,9 @@ def exact_top_k(queries: DataFrame, items: DataFrame, key: str, vector: str, k:
     scratch = Scratch(queries.sparkSession, "exact-knn")
     usable = lambda df: df.where(F.col(vector).isNotNull() & F.exists(vector, lambda x: x != 0)).select(F.col(key).cast("string").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     q, x = scratch.save(usable(queries)), scratch.save(usable(items))
-    nq, nx = (max(1, -(-df.count() // block)) for df in (q, x))
+    rows_q, rows_x = q.count(), x.count()
+    block = max(block, min(LARGEST, max(rows_q, rows_x) // 24))  # a row goes to as many tasks as the other side has blocks
+    nq, nx = (max(1, -(-n // block)) for n in (rows_q, rows_x))
     number = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     left = q.select("id", "v", F.explode(F.transform(F.sequence(F.lit(0), F.lit(nx - 1)), lambda j: number(nq) * nx + j)).alias("cell"), F.lit(True).alias("asks"))
     right = x.select("id", "v", F.explode(F.transform(F.sequence(F.lit(0), F.lit(nq - 1)), lambda i: i * nx + number(nx))).alias("cell"), F.lit(False).alias("asks"))
@@ -39,8 +41,9 @@ def exact_top_k(queries: DataFrame, items: DataFrame, key: str, vector: str, k:
         names, found = ids[~asks][order], v[~asks][order]
         out_q, out_x, out_s = [], [], []
         asked = np.flatnonzero(asks)
-        for at in range(0, len(asked) if len(found) else 0, 1024):
-            rows = asked[at : at + 1024]
+        step = max(16, 4_000_000 // max(1, len(found)))
+        for at in range(0, len(asked) if len(found) else 0, step):
+            rows = asked[at : at + step]
             s = v[rows] @ found.T
             # stable sorting of the rounded values keeps the smaller key first of equals
             best = np.argsort(-np.round(s, 12), axis=1, kind="stable")[:, :k]
