@@ -17,7 +17,7 @@ from kinfold.scratch import Scratch
 #: Dimensions of the projection (even), confidence of the stopping test, rows behind the top tree at most.
 DIMENSIONS, CONFIDENCE, FIT_ROWS = 12, 0.995, 20_000
 #: Rows of a block at least and usually at most; blocks of a group at most.
-BLOCK_LEAST, BLOCK_MOST, BLOCKS = 8_192, 131_072, 4_096
+BLOCK_LEAST, BLOCK_MOST, BLOCKS = 8_192, 131_072, 1_024
 LEAF = 512
 
 
@@ -69,6 +69,53 @@ class KdTree:
         return (gap * gap).sum(1)
 
 
+class _Best:
+    """The k best of each row so far, and the squared projected distance beyond which the stopping test drops others."""
+
+    def __init__(self, rows: int, k: int, chi: float, most: float):
+        self.cos = np.full((rows, k), -np.inf)
+        self.at = np.full((rows, k), -1, np.int64)
+        self.limit = np.full(rows, chi * most)
+        self.k, self.chi, self.most = k, chi, most
+
+    def update(self, q: np.ndarray, r: np.ndarray, cos: np.ndarray) -> None:
+        good = cos > self.cos[q, -1]
+        q, r, cos = q[good], r[good], cos[good]
+        if not len(q):
+            return
+        # put the new ones behind the old and keep the k best of each row that has any
+        touched, inverse = np.unique(q, return_inverse=True)
+        sort = np.lexsort((r, -cos, inverse))
+        inverse, r, cos = inverse[sort], r[sort], cos[sort]
+        rank = np.arange(len(inverse)) - np.searchsorted(inverse, inverse)
+        keep = rank < self.k
+        new_c = np.full((len(touched), self.k), -np.inf)
+        new_r = np.full((len(touched), self.k), -1, np.int64)
+        new_c[inverse[keep], rank[keep]] = cos[keep]
+        new_r[inverse[keep], rank[keep]] = r[keep]
+        both_c, both_r = np.hstack([self.cos[touched], new_c]), np.hstack([self.at[touched], new_r])
+        top = np.argsort(-both_c, axis=1, kind="stable")[:, : self.k]
+        self.cos[touched] = np.take_along_axis(both_c, top, 1)
+        self.at[touched] = np.take_along_axis(both_r, top, 1)
+        kth = self.cos[touched, -1]
+        self.limit[touched] = self.chi * np.minimum(self.most, np.where(np.isfinite(kth), 2 - 2 * kth, 4.0))
+
+    def found(self, order: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        q, c = np.nonzero(self.at >= 0)
+        return order[q], other[self.at[q, c]], self.cos[q, c]
+
+
+def _verified(v: np.ndarray, w: np.ndarray, mask: np.ndarray, floor: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    q, r = np.nonzero(mask)
+    if not len(q):
+        return q, r, np.empty(0)
+    cos = np.einsum("ij,ij->i", v[q], w[r]) if len(q) * 4 < mask.size else (v @ w.T)[q, r]
+    if floor is not None:
+        good = cos >= floor - 1e-12
+        q, r, cos = q[good], r[good], cos[good]
+    return q, r, cos
+
+
 def search(qv: np.ndarray, qp: np.ndarray, dv: np.ndarray, dp: np.ndarray, k: int, chi: float, floor: float | None, self_at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row, cosine) of up to k most similar rows for each query; `self_at` is the row that is the query itself (-1: none).
 
@@ -78,56 +125,53 @@ def search(qv: np.ndarray, qp: np.ndarray, dv: np.ndarray, dp: np.ndarray, k: in
     when the next leaf lies beyond the radius of every query of the leaf.
     """
     data, queries = KdTree(dp), KdTree(qp)
-    most = 2 - 2 * floor if floor is not None else 4.0
-    dv, dp = dv[data.order], dp[data.order]
-    norms = (dp * dp).sum(1)
+    dv, dp, qv, qp = dv[data.order], dp[data.order], qv[queries.order], qp[queries.order]
+    norms, squares = (dp * dp).sum(1), (qp * qp).sum(1)
     position = np.empty(len(data.order), np.int64)
     position[data.order] = np.arange(len(data.order))
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    own = np.full(len(qv), -1) if self_at is None else np.where(self_at >= 0, position[self_at], -1)[queries.order]
+    best = _Best(len(qv), k, chi, 2 - 2 * floor if floor is not None else 4.0)
     for i in range(len(queries.edges) - 1):
-        rows = queries.order[queries.edges[i] : queries.edges[i + 1]]
-        v, p = qv[rows], qp[rows]
-        own = np.full(len(rows), -1) if self_at is None else np.where(self_at[rows] >= 0, position[self_at[rows]], -1)
-        square = (p * p).sum(1)
-        best = np.full((len(rows), k), -np.inf)
-        at = np.full((len(rows), k), -1, np.int64)
-        limit = np.full(len(rows), chi * most)
+        a, b = queries.edges[i], queries.edges[i + 1]
         near = data.apart(queries.low[i], queries.high[i])
         for leaf in np.argsort(near):
-            if near[leaf] > limit.max():
+            if near[leaf] > best.limit[a:b].max():
                 break
-            a, b = data.edges[leaf], data.edges[leaf + 1]
-            d2 = square[:, None] + norms[a:b] - 2 * (p @ dp[a:b].T)
-            mask = d2 <= limit[:, None]
-            here = (own >= a) & (own < b)
-            mask[here, own[here] - a] = False
-            q, r = np.nonzero(mask)
-            if not len(q):
-                continue
-            cos = np.einsum("ij,ij->i", v[q], dv[a + r]) if len(q) * 4 < mask.size else (v @ dv[a:b].T)[q, r]
-            good = cos > best[q, -1] if floor is None else (cos >= floor - 1e-12) & (cos > best[q, -1])
-            q, r, cos = q[good], r[good], cos[good]
-            if not len(q):
+            c, d = data.edges[leaf], data.edges[leaf + 1]
+            mask = squares[a:b, None] + norms[c:d] - 2 * (qp[a:b] @ dp[c:d].T) <= best.limit[a:b, None]
+            here = (own[a:b] >= c) & (own[a:b] < d)
+            mask[here, own[a:b][here] - c] = False
+            q, r, cos = _verified(qv[a:b], dv[c:d], mask, floor)
+            best.update(a + q, c + r, cos)
+    return best.found(queries.order, data.order)
+
+
+def search_both(v: np.ndarray, p: np.ndarray, w: np.ndarray, o: np.ndarray, k: int, chi: float, floor: float | None, same: bool) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """`search` of each side against the other (or with `same` of the rows among themselves), with every distance taken once for both."""
+    one = KdTree(p)
+    two = one if same else KdTree(o)
+    v, p = v[one.order], p[one.order]
+    w, o = (v, p) if same else (w[two.order], o[two.order])
+    squares, norms = (p * p).sum(1), (o * o).sum(1)
+    most = 2 - 2 * floor if floor is not None else 4.0
+    left = _Best(len(v), k, chi, most)
+    right = left if same else _Best(len(w), k, chi, most)
+    for i in range(len(one.edges) - 1):
+        a, b = one.edges[i], one.edges[i + 1]
+        near = two.apart(one.low[i], one.high[i])
+        for leaf in np.argsort(near):
+            if near[leaf] > chi * most:
+                break
+            c, d = two.edges[leaf], two.edges[leaf + 1]
+            if (same and leaf < i) or near[leaf] > max(left.limit[a:b].max(), right.limit[c:d].max()):
                 continue
-            # put the new ones behind the old and keep the k best of each query that has any
-            touched, inverse = np.unique(q, return_inverse=True)
-            sort = np.lexsort((r, -cos, inverse))
-            inverse, r, cos = inverse[sort], r[sort], cos[sort]
-            rank = np.arange(len(inverse)) - np.searchsorted(inverse, inverse)
-            keep = rank < k
-            new_c = np.full((len(touched), k), -np.inf)
-            new_r = np.full((len(touched), k), -1, np.int64)
-            new_c[inverse[keep], rank[keep]] = cos[keep]
-            new_r[inverse[keep], rank[keep]] = a + r[keep]
-            both_c, both_r = np.hstack([best[touched], new_c]), np.hstack([at[touched], new_r])
-            top = np.argsort(-both_c, axis=1, kind="stable")[:, :k]
-            best[touched] = np.take_along_axis(both_c, top, 1)
-            at[touched] = np.take_along_axis(both_r, top, 1)
-            kth = best[touched, -1]
-            limit[touched] = chi * np.minimum(most, np.where(np.isfinite(kth), 2 - 2 * kth, 4.0))
-        q, c = np.nonzero(at >= 0)
-        found.append((rows[q], data.order[at[q, c]], best[q, c]))
-    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+            mask = squares[a:b, None] + norms[c:d] - 2 * (p[a:b] @ o[c:d].T) <= np.maximum(left.limit[a:b, None], right.limit[c:d])
+            if same and leaf == i:
+                mask = np.triu(mask, 1)
+            q, r, cos = _verified(v[a:b], w[c:d], mask, floor)
+            left.update(a + q, c + r, cos)
+            right.update(c + r, a + q, cos)
+    return [left.found(one.order, two.order)] if same else [left.found(one.order, two.order), right.found(two.order, one.order)]
 
 
 class TopTree:
@@ -181,7 +225,7 @@ _PROJECTED = "grp string, dim int, id string, query boolean, block bigint, v bin
 
 
 def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, floor: float | None = None, query: str | None = None, dimensions: int = DIMENSIONS, confidence: float = CONFIDENCE) -> DataFrame:
-    """(group, key, neighbour, cosine): up to k most similar others of every key within its group.
+    """(group, key, neighbour, cosine): up to k most similar others of every key within its group; groups and keys as strings.
 
     `floor` is a cosine below which no neighbour is wanted, `query` a boolean column: only keys where it is true are
     searched for (against all). Equal cosines go by the smaller key. Vectors that are null, empty, of zero length or hold
@@ -196,7 +240,7 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
     spark = vectors.sparkSession
     v = F.col(vector)
     usable = v.isNotNull() & (F.size(v) > 0) & F.col(key).isNotNull() & F.col(group).isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(usable).select(F.col(group).cast("string").alias("grp"), F.col(key).alias("id"), v.cast("array<float>").alias("v"), (F.col(query) if query else F.lit(True)).alias("query"))
+    rows = vectors.where(usable).select(F.col(group).cast("string").alias("grp"), F.col(key).cast("string").alias("id"), v.cast("array<float>").alias("v"), (F.col(query) if query else F.lit(True)).alias("query"))
     rows = rows.groupBy("grp", "id").agg(F.min("v").alias("v"), F.max("query").alias("query"))
     copies = rows.groupBy("grp", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.max("query").alias("query"))
     distinct = scratch.save(copies.select("grp", F.size("v").alias("dim"), "id", "v", "query", "n"))
@@ -237,12 +281,12 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
     pair_df = spark.createDataFrame(pair_rows or [(0, "", 0, 0, 0)], "pair int, grp string, dim int, one bigint, two bigint")
     if not pair_rows:
         pair_df = pair_df.limit(0)
-    at = F.broadcast(pair_df)
+    at = pair_df  # at most BLOCKS squared halves of a group; Spark broadcasts it where that is small
     left = projected.join(at, (projected.grp == pair_df.grp) & (projected.dim == pair_df.dim) & (projected.block == pair_df.one)).select("pair", projected.grp, projected.dim, "id", "query", "v", "p", F.lit(0).alias("side"), (F.col("one") == F.col("two")).alias("same"))
     right = projected.join(at, (projected.grp == pair_df.grp) & (projected.dim == pair_df.dim) & (projected.block == pair_df.two) & (pair_df.one != pair_df.two)).select("pair", projected.grp, projected.dim, "id", "query", "v", "p", F.lit(1).alias("side"), F.lit(False).alias("same"))
     if query:
         left = left.where(F.col("query") | F.col("same"))
-    tasks = left.unionByName(right).repartition(max(1, len(pair_rows)), "pair")
+    tasks = left.unionByName(right).repartition(max(1, min(len(pair_rows), 20_000)), "pair")
     hits = tasks.groupBy("pair").applyInArrow(_search_pair(k, chi, floor, dimensions, query is not None), "grp string, id string, neighbour string, cosine double")
     best = _first(hits, k)
     if members is not None:
@@ -312,17 +356,19 @@ def _search_pair(k: int, chi: float, floor: float | None, m: int, one_way: bool)
         v, p, ids, side, asks = v[order], p[order], ids[order], part["side"].to_numpy()[order], np.array(part["query"].to_pylist(), bool)[order]
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         hits = []
-        if part["same"][0].as_py():
-            q = np.flatnonzero(asks) if one_way else one
+        if not one_way:
+            same = part["same"][0].as_py()
+            found = search_both(v[one], p[one], v[two], p[two], k, chi, floor, same) if same or len(one) and len(two) else []
+            sides = [(one, one)] if same else [(one, two), (two, one)]
+            hits = [(x[a], y[b], c) for (x, y), (a, b, c) in zip(sides, found, strict=False)]
+        elif part["same"][0].as_py():
+            q = np.flatnonzero(asks)
             if len(q):
                 a, b, c = search(v[q], p[q], v, p, k, chi, floor, q)
                 hits.append((q[a], b, c))
         elif len(one) and len(two):
             a, b, c = search(v[one], p[one], v[two], p[two], k, chi, floor)
             hits.append((one[a], two[b], c))
-            if not one_way:
-                a, b, c = search(v[two], p[two], v[one], p[one], k, chi, floor)
-                hits.append((two[a], one[b], c))
         a, b, c = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else (np.empty(0, int), np.empty(0, int), np.empty(0))
         return pa.table({"grp": pa.array([part["grp"][0].as_py()] * len(c), pa.string()), "id": pa.array(ids[a].tolist(), pa.string()), "neighbour": pa.array(ids[b].tolist(), pa.string()), "cosine": pa.array(c, pa.float64())})
 
