@@ -111,22 +111,26 @@ def parse(name: str) -> tuple[bool, list[str], list[str], str, int | None, int |
     return False, sides[0], sides[1], hint, birth, death
 
 
-_PARSED = "id string, organisation boolean, left array<string>, right array<string>, hint string, birth int, death int, name string"
+_PARSED = "id string, spelling string"
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, years = pa.list_(pa.string()), pa.int32()
+    """The parts of a parsed name in one text, by which equal names are found."""
     for b in batches:
-        ids, rows = [], []
+        ids, texts = [], []
         for i, form in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            row = parse(form)
-            if row[1] or row[2]:
+            organisation, left, right, hint, birth, death = parse(form)
+            if left or right:
                 ids.append(i)
-                rows.append(row)
-        if rows:
-            o, left, right, hint, birth, death = zip(*rows, strict=True)
-            name = ["\t".join((str(int(r[0])), " ".join(r[1]), " ".join(r[2]), r[3], str(r[4] or ""), str(r[5] or ""))) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(o), pa.array(left, words), pa.array(right, words), pa.array(hint, pa.string()), pa.array(birth, years), pa.array(death, years), pa.array(name, pa.string())], names=["id", "organisation", "left", "right", "hint", "birth", "death", "name"])
+                texts.append("\t".join((str(int(organisation)), " ".join(left), " ".join(right), hint, str(birth or ""), str(death or ""))))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["id", "spelling"])
+
+
+def _parts(names: DataFrame) -> DataFrame:
+    part = F.split("spelling", "\t")
+    words = lambda k: F.filter(F.split(part[k], " "), lambda w: w != "")
+    year = lambda k: F.nullif(part[k], F.lit("")).cast("int")
+    return names.select("name", (part[0] == "1").alias("organisation"), words(1).alias("left"), words(2).alias("right"), part[3].alias("hint"), year(4).alias("birth"), year(5).alias("death"))
 
 
 def token_variants(tokens: DataFrame, scratch: Scratch) -> DataFrame:
@@ -287,10 +291,9 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     single = values.where(F.col(key).isNotNull() & F.col(value).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.min(value).alias("value"))
     parsed = scratch.save(normalize_text(single, "value", "form").select("id", "form").mapInArrow(_parse, _PARSED))
     # each distinct name is a number from here on
-    names = scratch.save(parsed.groupBy(F.col("name").alias("spelling")).agg(*[F.first(c).alias(c) for c in ("organisation", "left", "right", "hint", "birth", "death")]).withColumn("name", F.monotonically_increasing_id()))
-    total = names.count()
-    members = scratch.save(parsed.select("id", F.col("name").alias("spelling")).join(names.select("name", "spelling"), "spelling").select("id", "name"))
-    names = names.drop("spelling")
+    numbered, total = scratch.save_counted(parsed.select("spelling").distinct().withColumn("name", F.monotonically_increasing_id()))
+    members = scratch.save(parsed.join(numbered, "spelling").select("id", "name"))
+    names = scratch.save(_parts(numbered))
 
     comma = ~F.col("organisation") & (F.size("right") > 0)
     side = lambda c, k: F.transform(F.col(c), lambda t, i: F.struct(F.lit(k).alias("side"), (i + k * 1000).alias("pos"), t.alias("token")))
@@ -305,61 +308,58 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     shaped = names.select("name", "organisation", "hint", "birth", "death").join(shaped, "name").select("name", "organisation", "hint", "birth", "death", "infos")
     shaped = scratch.save(shaped.mapInArrow(_structure(total), _SHAPE))
 
+    # k stands for (label, given names), ks for the shorter ways to write it, e for (label, year of birth): numbers, so that
+    # what follows moves and compares no text; what a collision might link is dropped by the similarity
     rows = shaped.select("name", "organisation", "birth", "death", F.posexplode("forms").alias("alternative", "form")).select("name", "organisation", "birth", "death", "alternative", "form.label", "form.given", "form.nick")
-    rows = scratch.save(rows.withColumn("sig", F.array_join("given", " ")).withColumn("shorter", _patterns("given")))
+    rows = rows.withColumn("sig", F.array_join("given", " ")).withColumn("shorter", _patterns("given"))
+    number = lambda sig: F.xxhash64("organisation", "label", sig)
+    rows = rows.withColumn("k", number("sig")).withColumn("ks", F.transform("shorter", number)).withColumn("e", F.when(F.col("organisation") | F.col("birth").isNull(), F.xxhash64("label", "sig", F.lit("undated"))).otherwise(F.xxhash64("label", "birth")))
     full = F.col("organisation") | ((F.size("given") > 0) & F.forall("given", lambda g: F.length(g) > 1)) | (F.size("given") == 0)
+    rows = scratch.save(rows.drop("shorter").withColumn("full", full))
 
     # dated names: the same label, year of birth and initial
-    dated = rows.where("birth IS NOT NULL AND NOT organisation").withColumn("initial", F.substring("sig", 1, 1))
-    a = dated.select(*[F.col(c).alias(f"{c}_a") for c in ("label", "birth", "initial", "name", "given", "death")])
-    b = dated.select(*[F.col(c).alias(f"{c}_b") for c in ("label", "birth", "initial", "name", "given", "death")])
-    deaths = F.coalesce(F.col("death_a") == F.col("death_b"), F.lit(True))
-    same = (F.col("label_a") == F.col("label_b")) & (F.col("birth_a") == F.col("birth_b")) & (F.col("initial_a") == F.col("initial_b")) & (F.col("name_a") < F.col("name_b"))
-    links = a.join(b, same).where(deaths & _compatible("given_a", "given_b")).select(F.col("name_a").alias("one"), F.col("name_b").alias("two"))
+    dated = rows.where("birth IS NOT NULL AND NOT organisation")
+    x = dated.select(F.xxhash64("label", "birth", F.substring("sig", 1, 1)).alias("j"), "name", "given", "death")
+    a, b = x.select("j", F.struct("name", "given", "death").alias("a")), x.select("j", F.struct("name", "given", "death").alias("b"))
+    deaths = F.coalesce(F.col("a.death") == F.col("b.death"), F.lit(True))
+    links = a.join(b, "j").where((F.col("a.name") < F.col("b.name")) & deaths).select(F.col("a.name").alias("one"), F.col("b.name").alias("two"), F.col("a.given").alias("given_a"), F.col("b.given").alias("given_b"))
+    links = links.where(_compatible("given_a", "given_b")).select("one", "two")
 
     # surnames two edits apart: with the same full given names and years, of which there are two or a second given name
-    sure = dated.where("alternative = 0 AND length(label) > 5").where(F.forall("given", lambda g: F.length(g) > 1) & ((F.col("death").isNotNull() & (F.size("given") > 0)) | (F.size("given") > 1)))
-    sure = sure.select("birth", F.coalesce("death", F.lit(0)).alias("death"), "sig", F.substring("label", 1, 1).alias("initial"), "label", "name")
-    a, b = (sure.withColumnRenamed("label", f"label_{s}").withColumnRenamed("name", f"name_{s}") for s in "ab")
-    apart = a.join(b, ["birth", "death", "sig", "initial"]).where((F.col("name_a") < F.col("name_b")) & (F.col("label_a") != F.col("label_b")) & (F.levenshtein("label_a", "label_b", 2) >= 0))
-    links = links.unionByName(apart.select(F.col("name_a").alias("one"), F.col("name_b").alias("two")))
+    sure = dated.where("alternative = 0 AND length(label) > 5 AND full").where((F.col("death").isNotNull() & (F.size("given") > 0)) | (F.size("given") > 1))
+    sure = sure.select(F.xxhash64("birth", F.coalesce("death", F.lit(0)), "sig", F.substring("label", 1, 1)).alias("j"), "label", "name")
+    a, b = sure.select("j", F.struct("name", "label").alias("a")), sure.select("j", F.struct("name", "label").alias("b"))
+    apart = a.join(b, "j").where((F.col("a.name") < F.col("b.name")) & (F.col("a.label") != F.col("b.label")) & (F.levenshtein("a.label", "b.label", 2) >= 0))
+    links = links.unionByName(apart.select(F.col("a.name").alias("one"), F.col("b.name").alias("two")))
 
     # names without dates: by signature, where what they fit is one entity; level 0 is the best fit
-    undated = rows.where("(birth IS NULL OR organisation) AND NOT nick").withColumn("full", full)
-    proxy = F.concat_ws("\t", "label", F.col("birth").cast("string"))
-    of_dated = scratch.save(dated.where("NOT nick").select("label", "sig", "given", "shorter", proxy.alias("proxy"), "name"))
-    exact = of_dated.where("sig <> ''").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
-    shorter = _shorter_forms(of_dated)
-    whole = undated.where("full AND NOT organisation AND sig <> ''").select("name", "label", "sig", "given", "shorter")
-    longer = whole.select("name", "label", F.col("sig").alias("own"), F.explode("shorter").alias("sig")).where("sig <> own").select("name", "label", "sig")
+    undated = rows.where("(birth IS NULL OR organisation) AND NOT nick")
+    signed = dated.where("NOT nick AND sig <> ''").select("k", "ks", "e", "name", "given", F.lit(True).alias("dated"))
+    exact = signed.groupBy("k").agg(F.min("e").alias("low"), F.max("e").alias("high"), F.min("name").alias("witness"))
+    whole = undated.where("full AND NOT organisation AND sig <> ''").select("name", "k", "ks", "given")
+    longer = whole.select("name", "given", F.col("k").alias("own"), F.explode("ks").alias("k")).where("k <> own")
     fits = (
-        whole.select("name", "label", "sig").join(exact, ["label", "sig"]).withColumn("level", F.lit(0))
-        .unionByName(whole.select("name", "label", "sig").join(shorter, ["label", "sig"]).withColumn("level", F.lit(1)))
-        .unionByName(_agreeing(longer.join(exact.where("low = high"), ["label", "sig"]), whole, of_dated).withColumn("level", F.lit(2)))
+        whole.select("name", "k").join(exact, "k").withColumn("level", F.lit(0))
+        .unionByName(whole.select("name", "k").join(_shorter_forms(signed), "k").withColumn("level", F.lit(1)))
+        .unionByName(_agreeing(longer.join(exact.where("low = high"), "k"), signed).withColumn("level", F.lit(2)))
     )
-    first = scratch.save(_unambiguous(fits))
+    first = scratch.save(_unambiguous(fits, 3))
 
     # names without dates that fit no dated one, and organisations: by label and signature
-    plain = scratch.save(undated.where("full").join(first.select("name"), "name", "left_anti").select("name", "label", "sig", "given", "shorter", "organisation", "alternative"))
-    spelt = plain.where("alternative = 0").groupBy("organisation", "label", "sig").agg(F.min("name").alias("witness"), F.count(F.lit(1)).alias("n"))
-    own = plain.join(spelt, ["organisation", "label", "sig"]).where("name <> witness")
-    second = own.groupBy("name").agg(F.min_by("witness", F.struct("alternative", "label")).alias("witness"))
+    plain = scratch.save(undated.where("full").join(first.select("name"), "name", "left_anti").select("name", "k", "ks", "e", "given", "sig", "organisation", "alternative"))
+    second = _spelt_alike(plain)
 
     # initials and left-out names: dated names and the full names without dates together; first those full names that
     # fit one longer name, then what is shorter still, for which the two count as one
-    of_plain = plain.where("NOT organisation AND alternative = 0 AND sig <> ''").select("label", "sig", "given", "shorter", F.concat_ws("\t", "label", F.lit(""), "sig").alias("proxy"), "name")
-    fuller = _shorter_forms(of_dated.unionByName(of_plain))
-    shortened = scratch.save(_unambiguous(plain.where("NOT organisation AND sig <> ''").select("name", "label", "sig").join(fuller, ["label", "sig"]).withColumn("level", F.lit(0)), "low"))
-    resolved = of_plain.join(shortened.select("name", "low"), "name", "left").withColumn("proxy", F.coalesce("low", "proxy")).select(*of_plain.columns)
-    every = _shorter_forms(of_dated.unionByName(resolved))
-    brief = undated.where("NOT full").select("name", "label", "sig")
-    briefly = scratch.save(_unambiguous(brief.join(every, ["label", "sig"]).withColumn("level", F.lit(0))))
-    third = shortened.select("name", "witness").unionByName(briefly)
-    left = undated.where("NOT full").join(briefly.select("name"), "name", "left_anti")
-    alike = left.where("alternative = 0").groupBy("label", "sig").agg(F.min("name").alias("witness"))
-    fourth = left.join(alike, ["label", "sig"]).where("name <> witness").groupBy("name").agg(F.min_by("witness", F.struct("alternative", "label")).alias("witness"))
-
-    stars = first.select("name", "witness").unionByName(second).unionByName(third.select("name", "witness")).unionByName(fourth).where("name <> witness")
+    persons = plain.where("NOT organisation AND sig <> ''")
+    of_plain = persons.where("alternative = 0").select("k", "ks", "e", "name", "given", F.lit(False).alias("dated"))
+    shortened = scratch.save(_unambiguous(persons.select("name", "k").join(_shorter_forms(signed.unionByName(of_plain)), "k").withColumn("level", F.lit(0)), 1))
+    resolved = of_plain.join(shortened.select("name", "low"), "name", "left").withColumn("e", F.coalesce("low", "e")).select(*of_plain.columns)
+    brief = undated.where("NOT full")
+    briefly = scratch.save(_unambiguous(brief.select("name", "k").join(_shorter_forms(signed.unionByName(resolved)), "k").withColumn("level", F.lit(0)), 1))
+    fourth = _spelt_alike(brief.join(briefly.select("name"), "name", "left_anti"))
+
+    stars = first.select("name", "witness").unionByName(second).unionByName(shortened.select("name", "witness")).unionByName(briefly.select("name", "witness")).unionByName(fourth).where("name <> witness")
     links = scratch.save(links.unionByName(stars.toDF("one", "two")).distinct())
     side_of = lambda s: shaped.select(F.col("name").alias("one" if s == "a" else "two"), F.col("tokens").alias(f"tokens_{s}"), F.col("weights").alias(f"weights_{s}"))
     checked = links.join(side_of("a"), "one").join(side_of("b"), "two").where(_similarity("tokens_a", "weights_a", "tokens_b", "weights_b") >= least_similarity).select("one", "two")
@@ -370,23 +370,30 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
 
 
 def _shorter_forms(names: DataFrame) -> DataFrame:
-    """(label, sig, low, high, witness): for each way to write a name shorter, whether it fits one entity (low = high). A full name without dates does not answer for itself."""
-    forms = names.select("label", F.col("sig").alias("own"), F.explode("shorter").alias("sig"), "proxy", "name")
-    return forms.where("sig <> own OR instr(proxy, '\t\t') = 0").groupBy("label", "sig").agg(F.min("proxy").alias("low"), F.max("proxy").alias("high"), F.min("name").alias("witness"))
+    """(k, low, high, witness): for each way to write a name shorter, whether it fits one entity (low = high). A full name without dates does not answer for itself."""
+    forms = names.select(F.col("k").alias("own"), F.explode("ks").alias("k"), "e", "name", "dated").where("dated OR k <> own")
+    return forms.groupBy("k").agg(F.min("e").alias("low"), F.max("e").alias("high"), F.min("name").alias("witness"))
+
+
+def _spelt_alike(names: DataFrame) -> DataFrame:
+    """(name, witness): names of the same label and signature, by the own label first, else by an alternative one."""
+    spelt = names.where("alternative = 0").groupBy("k").agg(F.min("name").alias("witness"))
+    fits = names.select("name", "k", "alternative").join(spelt, "k").where("name <> witness")
+    return fits.groupBy("name").agg(F.coalesce(F.min(F.when(F.col("alternative") == 0, F.col("witness"))), F.min("witness")).alias("witness"))
 
 
-def _agreeing(fits: DataFrame, names: DataFrame, dated: DataFrame) -> DataFrame:
+def _agreeing(fits: DataFrame, dated: DataFrame) -> DataFrame:
     """Fits of names that are longer than the dated name they fit, where no other name of the same label and year contradicts."""
-    given = fits.join(names.select("name", "label", "given"), ["name", "label"])
-    against = given.join(dated.select(F.col("proxy").alias("low"), F.col("given").alias("other")), "low").where(~_compatible("given", "other"))
-    return fits.join(against.select("name", "label", "low").distinct(), ["name", "label", "low"], "left_anti")
+    against = fits.select("name", "low", "given").join(dated.select(F.col("e").alias("low"), F.col("given").alias("other")), "low").where(~_compatible("given", "other"))
+    return fits.join(against.select("name", "low").distinct(), ["name", "low"], "left_anti").select("k", "name", "low", "high", "witness")
 
 
-def _unambiguous(fits: DataFrame, *more: str) -> DataFrame:
-    """(name, witness) of names whose best level has one entity only."""
-    by_level = fits.groupBy("name", "level").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("witness").alias("witness"))
-    best = by_level.groupBy("name").agg(F.min_by(F.struct("low", "high", "witness"), "level").alias("b"))
-    return best.where("b.low = b.high").select("name", "b.witness", *[f"b.{c}" for c in more])
+def _unambiguous(fits: DataFrame, levels: int) -> DataFrame:
+    """(name, low, witness) of names whose best level has one entity only."""
+    columns = [("low", F.min), ("high", F.max), ("witness", F.min)]
+    best = fits.groupBy("name").agg(*[f(F.when(F.col("level") == n, F.col(c))).alias(f"{c}{n}") for n in range(levels) for c, f in columns])
+    at = lambda c: F.coalesce(*[F.col(f"{c}{n}") for n in range(levels)])
+    return best.where(at("low") == at("high")).select("name", at("low").alias("low"), at("witness").alias("witness"))
 
 
 def name_pairs(values: DataFrame, key: str, value: str) -> DataFrame:
