@@ -95,6 +95,41 @@ def token_sort_similarity(a: Column, b: Column) -> Column:
     return indel(sorted_tokens(a), sorted_tokens(b))
 
 
+def jaro_winkler(a: str, b: str, scale: float = 0.1) -> float:
+    """Jaro similarity raised by the common start of up to four letters, where it is above 0.7."""
+    if a == b:
+        return 1.0
+    if not a or not b:
+        return 0.0
+    reach = max(0, max(len(a), len(b)) // 2 - 1)
+    taken = [False] * len(b)
+    from_a = []
+    for i, x in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not taken[j] and b[j] == x:
+                taken[j] = True
+                from_a.append(x)
+                break
+    m = len(from_a)
+    if not m:
+        return 0.0
+    from_b = [y for y, t in zip(b, taken, strict=True) if t]
+    swapped = sum(x != y for x, y in zip(from_a, from_b, strict=True)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+    start = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return jaro + min(start, 4) * scale * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def jaro_winkler_similarity(a: Column, b: Column) -> Column:
+    """Null if either is null. Arrow batches."""
+
+    @F.pandas_udf("double")
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else jaro_winkler(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
+
+    return run(a, b)
+
+
 def harmonic(x: Column, y: Column) -> Column:
     return F.when((x > 0) & (y > 0), F.try_divide(2 * x * y, x + y)).otherwise(0.0)
 

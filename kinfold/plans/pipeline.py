@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +45,22 @@ class Config:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         return replace(self, **changes)
 
+    def override_text(self, changes: dict[str, str]) -> Config:
+        """Values as text, read as the type of the setting's default."""
+        kinds = {k: type(getattr(self, k)) for k in self.__dataclass_fields__}
+        read = {bool: lambda x: x.lower() in ("1", "true", "yes")}
+        return self.override(**{k: read.get(kinds.get(k, str), kinds.get(k, str))(v) for k, v in changes.items()})
+
+    @classmethod
+    def load(cls, path: str) -> Config:
+        """From a JSON file, or a YAML file where a reader for that is installed."""
+        text = Path(path).read_text()
+        if path.endswith((".yml", ".yaml")):
+            import yaml
+
+            return cls().override(**yaml.safe_load(text))
+        return cls().override(**json.loads(text))
+
 
 @dataclass
 class Pipeline:

@@ -84,3 +84,9 @@ def test_common_subsequence(a, b):
         for j, y in enumerate(b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     assert tx.common_subsequence(a, b) == table[-1][-1]
+
+
+def test_jaro_winkler():
+    assert tx.jaro_winkler("MARTHA", "MARHTA") == pytest.approx(0.9611, abs=1e-4)
+    assert tx.jaro_winkler("DIXON", "DICKSONX") == pytest.approx(0.8133, abs=1e-4)
+    assert tx.jaro_winkler("", "") == 1 and tx.jaro_winkler("a", "") == 0 and tx.jaro_winkler("abc", "xyz") == 0

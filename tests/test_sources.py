@@ -80,5 +80,11 @@ def test_pipeline(spark, data, tmp_path):
     assert {r.status for r in p.run().collect()} == {"skipped"}
     clusters = p.registry.load("clusters")
     assert clusters.count() == clusters.select("entity_id").distinct().count() > 0
+
+
+def test_config(tmp_path):
     with pytest.raises(ValueError):
         Config().override(nothing=1)
+    (tmp_path / "c.json").write_text('{"neighbours": 7}')
+    c = Config.load(str(tmp_path / "c.json")).override_text({"threshold": "0.5", "transitivity": "no"})
+    assert (c.neighbours, c.threshold, c.transitivity) == (7, 0.5, False)
