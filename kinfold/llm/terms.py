@@ -121,7 +121,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (g, term), (o, r) in seen.items():
             (tries.get(g) or tries.setdefault(g, BurstTrie())).add(term, o, r)
         held += len(seen)
-        if held > 1_000_000:  # a worker's tries stay small; parts of the same subtree are merged later
+        if held > 500_000:  # a worker's tries stay small; parts of the same subtree are merged later
             yield from _emit(tries)
             yield from _burst_rows(tries)
             tries, held = {}, 0
