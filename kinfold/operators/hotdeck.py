@@ -10,10 +10,17 @@ from kinfold.operators.skew import lookup_join
 # Texts that state no value once everything but letters and digits is left out; fixed values.
 VACUOUS = ("", "na", "nan", "nil", "null", "none", "sn", "sl", "slsn", "slsnsd", "nd", "sd", "unknown", "notavailable", "notapplicable", "notgiven", "notstated", "notspecified", "unspecified", "unstated", "unidentified", "undetermined", "missing", "empty", "nodata", "novalue", "tbd")
 
+# Words of longer texts without a statement: such a text has a word of denial and one of what is denied, and no word besides these.
+_DENIAL = "no|not|none|nor|without|lacking|missing|unknown|unidentified|unspecified|unstated|undetermined|unassigned|unavailable|unrecorded"
+_DENIED = "places?|publications?|publishers?|publishing|published|distributions?|distributors?|manufacture|manufacturers?|production|producers?|printers?|printing|imprints?|provisions?|dates?|names?|locations?|subjects?|headings?|topics?|terms?|keywords?|descriptors?|statements?|information|details|entry|entries|identified|identifiable|assigned|given|stated|specified|available|known|determined|provided|supplied|found|recorded|indicated|applicable|present|listed|entered"
+_FILLING = "of|and|or|the|a|an|any|for|in|on|to|is|are|was|were|has|have|been|yet|here|this|item|record"
+_DENYING = rf"^(?=.*\b({_DENIAL})\b)(?=.*\b({_DENIED})\b)(({_DENIAL}|{_DENIED}|{_FILLING})( |$))+$"
+
 
 def states_nothing(c: Column) -> Column:
-    """True for null and for texts such as "-", "N/A", "[s.n.]" or "unknown"."""
-    return F.coalesce(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "").isin(*VACUOUS), F.lit(True))
+    """True for null and for texts such as "-", "N/A", "[s.n.]", "unknown" or "[Publisher not identified]"."""
+    words = F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
+    return F.coalesce(F.replace(words, F.lit(" "), F.lit("")).isin(*VACUOUS) | words.rlike(_DENYING), F.lit(True))
 
 
 def hot_deck(df: DataFrame, record: str, target: str, levels: list[list[str | Column]], weight: str | None = None, numeric: bool = False) -> DataFrame:
