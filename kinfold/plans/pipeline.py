@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.text import normalize_text
 from kinfold.operators import classify, graph, ingest, knn, pairs, quality
+from kinfold.operators.skew import lookup_join
 from kinfold.sources.embedder import embed_strings, hashing_embedder
 from kinfold.sources.exports import html_report
 from kinfold.sources.registry import Registry
@@ -137,7 +138,11 @@ class Pipeline:
         top = knn.exact_top_k(x, x, "id", "v", self.config.neighbours)
         people = self.registry.load("cells").where("field = 'person' AND hash IS NOT NULL").select("record_id", F.col("hash").alias("person"))
         found = knn.candidates(top, self.config.similarity)
-        return {"neighbours": top, "candidates": knn.record_candidates(found, people, "record_id", "person")}
+        across = knn.record_candidates(found, people, "record_id", "person", every=True)
+        # records of one hash meet through the smallest of them
+        first = people.groupBy("person").agg(F.min("record_id").alias("record2_id"))
+        within = lookup_join(people, first, ["person"], "record_id").where("record_id <> record2_id").select(F.col("record_id").alias("record1_id"), F.col("person").alias("record1_hash"), F.col("person").alias("record2_hash"), F.lit(1.0).alias("similarity"), "record2_id")
+        return {"neighbours": top, "candidates": across.unionByName(within)}
 
     def _impute(self) -> dict[str, DataFrame]:
         cells = self.registry.load("cells")
@@ -156,12 +161,16 @@ class Pipeline:
 
     def _features(self) -> dict[str, DataFrame]:
         truth = pairs.ground_truth(self.labels, "left_id", "right_id", "is_match").withColumn("label", F.col("match").cast("int")).drop("match")
-        both = pairs.with_records(truth, self.registry.load("records").select("record_id", "person", "title", "provision", "subjects", "composite"), "record_id")
+        found = self.registry.load("candidates").where("record1_id <> record2_id").select(F.least("record1_id", "record2_id").alias("left_id"), F.greatest("record1_id", "record2_id").alias("right_id")).distinct()
+        both = pairs.with_records(found.join(truth, ["left_id", "right_id"], "full"), self.registry.load("records").select("record_id", "person", "title", "provision", "subjects", "composite"), "record_id")
         decided = both.withColumn("decision", pairs.prefilter(self.config.least_person))
         return {"pair_features": pairs.pair_features(decided.where("decision IS NULL").drop("decision")), "prefiltered": decided.where("decision IS NOT NULL").select("left_id", "right_id", "label", "decision")}
 
     def _classify(self) -> dict[str, DataFrame]:
-        features = classify.stratified_split(self.registry.load("pair_features"), "pair_id", "label", self.config.train_share)
+        features = self.registry.load("pair_features")
+        # the model is fitted on labelled pairs and scores all
+        split = classify.stratified_split(features.where("label IS NOT NULL"), "pair_id", "label", self.config.train_share)
+        features = split.unionByName(features.where("label IS NULL").withColumn("part", F.lit(None).cast("string")))
         scaled = classify.standardize(features, pairs.FEATURES, F.col("part") == "train")
         c, b = classify.train_logistic(scaled.where("part = 'train'"), pairs.FEATURES, "label", self.config.regularization, self.config.max_iter, self.config.tolerance)
         scored = classify.score(scaled, dict(zip(pairs.FEATURES, c, strict=True)), b, self.config.threshold)
