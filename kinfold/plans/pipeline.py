@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from kinfold.functions.text import normalize_text
 from kinfold.operators import classify, graph, ingest, knn, pairs, quality
+from kinfold.operators.hotdeck import states_nothing
 from kinfold.operators.skew import lookup_join
 from kinfold.sources.embedder import embed_strings, hashing_embedder
 from kinfold.sources.exports import html_report
@@ -147,9 +148,12 @@ class Pipeline:
     def _impute(self) -> dict[str, DataFrame]:
         cells = self.registry.load("cells")
         composite = cells.where("field = 'composite' AND hash IS NOT NULL").select("record_id", F.col("hash").alias("c"))
+        missing = ingest.missing_fields(cells, "record_id").select("record_id", F.explode("missing").alias("field"))
+        missing = missing.unionByName(cells.where(states_nothing(F.col("value"))).select("record_id", "field")).distinct()
+        present = cells.join(missing, ["record_id", "field"], "left_anti")
         out = None
         for name in ("provision", "subjects"):
-            have = composite.join(cells.where((F.col("field") == name) & F.col("hash").isNotNull()).select("record_id", F.col("hash").alias("value")), "record_id")
+            have = composite.join(present.where(F.col("field") == name).select("record_id", F.col("hash").alias("value")), "record_id")
             values = have.groupBy(F.col("c").alias("item")).agg(F.min("value").alias("value"))
             lacking = composite.join(have.select("record_id"), "record_id", "left_anti")
             x = self._of("composite")

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from test_missing import PLACEHOLDERS
 
 from kinfold.plans.pipeline import Config, Pipeline
 from kinfold.plans.tables import table
@@ -26,3 +27,13 @@ def test_candidates_are_scored_and_clustered(registry):
     assert registry.load("scored").where("part = 'train' AND label IS NULL").count() == 0
     labelled = {x for r in registry.load("scored").where("label IS NOT NULL").collect() for x in (r.left_id, r.right_id)}
     assert {r.entity_id for r in registry.load("clusters").collect()} - labelled
+
+
+def test_texts_without_statement_are_imputed(registry):
+    cells = registry.load("cells").where("field IN ('provision', 'subjects')").collect()
+    empty = {r.hash for r in cells if r.value in PLACEHOLDERS}
+    imputed = registry.load("imputed").collect()
+    assert empty and not empty & {r.hash for r in imputed}
+    assert {(r.record_id, r.field) for r in imputed} & {(r.record_id, r.field) for r in cells if r.hash in empty}
+    counts = {f: sum(r.field == f and (r.hash is None or r.hash in empty) for r in cells) for f in ("provision", "subjects")}
+    print("lacking", counts, "imputed", {f: sum(r.field == f for r in imputed) for f in counts})
