@@ -19,6 +19,8 @@ from kinfold.operators.graph import connected_components
 from kinfold.operators.skew import lookup_join
 from kinfold.scratch import Scratch
 
+# Up to so many given names all shorter ways to write them are listed; of longer names those that occur are looked up.
+LISTED = 6
 # English and some other short forms of given names, by the full name; fixed values.
 SHORT_FORMS = {
     "abigail": "abby nabby", "alexander": "alex sandy alec alexr", "aleksandra": "sasha", "anthony": "tony", "benjamin": "ben benj", "charles": "charlie chas chuck", "daniel": "dan danl",
@@ -253,20 +255,31 @@ def _similarity(*columns: str) -> Column:
     return run(*columns)
 
 
-def patterns(given: list[str], longest: int = 3) -> list[str]:
+def patterns(given: list[str]) -> list[str]:
     """Every shorter way to write the given names: the last ones left out, any as an initial."""
-    given = given[:longest]
     return sorted({" ".join(p) for n in range(1, len(given) + 1) for p in product(*[{g, g[:1]} for g in given[:n]])})
 
 
 def _patterns(column: str) -> Column:
     @F.pandas_udf("array<string>")
     def run(given: pd.Series) -> pd.Series:
-        return pd.Series([patterns(list(g)) for g in given], dtype=object)
+        return pd.Series([patterns(list(g)) if len(g) <= LISTED else [] for g in given], dtype=object)
 
     return run(column)
 
 
+def _long_forms(long: DataFrame, rows: DataFrame) -> DataFrame:
+    """`long` with ks of those shorter ways to write its names that occur: their number is not a power of the given names', and no other is ever met."""
+    first = lambda g: F.substring(g, 1, 1)
+    key = ["organisation", "label", "initials"]
+    heads = F.transform(F.sequence(F.lit(1), F.size("given")), lambda n: F.array_join(F.transform(F.slice("given", F.lit(1), n), first), ""))
+    ways = long.select("organisation", "label", "given", F.col("k").alias("own")).distinct().withColumn("initials", F.explode(heads))
+    written = rows.where("sig <> ''").select("organisation", "label", F.array_join(F.transform("given", first), "").alias("initials"), F.col("given").alias("written"), "k").distinct()
+    same = F.forall(F.zip_with("written", F.slice("given", F.lit(1), F.size("written")), lambda w, g: (w == g) | (w == first(g))), lambda x: x)
+    found = ways.join(written, key).where(same).groupBy(F.col("own").alias("k")).agg(F.array_sort(F.collect_set("k")).alias("ks"))
+    return long.drop("ks").join(found, "k").select(*long.columns)
+
+
 def _compatible(a: str, b: str):
     """Given names agree as far as both have them: equal, an initial of the other, or near in spelling."""
     both = F.least(F.size(a), F.size(b))
@@ -316,6 +329,10 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     rows = rows.withColumn("k", number("sig")).withColumn("ks", F.transform("shorter", number)).withColumn("e", F.when(F.col("organisation") | F.col("birth").isNull(), F.xxhash64("label", "sig", F.lit("undated"))).otherwise(F.xxhash64("label", "birth")))
     full = F.col("organisation") | ((F.size("given") > 0) & F.forall("given", lambda g: F.length(g) > 1)) | (F.size("given") == 0)
     rows = scratch.save(rows.drop("shorter").withColumn("full", full))
+    many = F.size("given") > LISTED
+    long, n_long = scratch.save_counted(rows.where(many))
+    if n_long:
+        rows = scratch.save(rows.where(~many).unionByName(_long_forms(long, rows)))
 
     # dated names: the same label, year of birth and initial
     dated = rows.where("birth IS NOT NULL AND NOT organisation")

@@ -63,3 +63,13 @@ def test_soft_similarity():
     w = [5.0, 1.0]
     assert soft_similarity(["rare", "common"], w, ["rare", "common"], w) == pytest.approx(1)
     assert soft_similarity(["rare", "common"], w, ["rare", "other"], w) > 0.8 > soft_similarity(["rare", "common"], w, ["else", "common"], w)
+
+
+def test_many_given_names(spark):
+    eight = "Anna Berta Clara Dora Emil Fritz Gerda Hugo".split()
+    four = ["Molodake, Anna Berta Clara Emil, 1700-1750", "Molodake, A. B. C. E.", "Molodake, Anna B. Clara Emil"]
+    long = [f"Sirenato, {' '.join(eight)}, 1700-1750", "Sirenato, " + " ".join(f"{g[0]}." for g in eight), f"Sirenato, Anna B. {' '.join(eight[2:])}", "Sirenato, A. Berta C. D."]
+    df, value = frame(spark, [*four, *long, *FILL])
+    entity = {value[r.hash]: r.entity for r in name_entities(df, "hash", "value").collect()}
+    assert len({entity[n] for n in four}) == len({entity[n] for n in long}) == 1 and entity[four[0]] != entity[long[0]]
+    assert len(patterns(list("abcde"))) == 5 and len(patterns(["anna", "berta", "clara", "emil"])) == 30
