@@ -143,7 +143,8 @@ def token_variants(tokens: DataFrame, scratch: Scratch) -> DataFrame:
     edits = F.levenshtein("token", "other", 2)
     letter = lambda c, i: F.substring(c, i, F.lit(1))
     at = F.filter(F.sequence(F.lit(1), F.length("token")), lambda i: letter("token", i) != letter("other", i))
-    swap = (F.length("token") == F.length("other")) & (F.size(at) == 2) & (at[1] - at[0] == 1) & (letter("token", at[0]) == letter("other", at[1])) & (letter("token", at[1]) == letter("other", at[0]))
+    one, two = F.get(at, F.lit(0)), F.get(at, F.lit(1))
+    swap = (F.length("token") == F.length("other")) & (F.size(at) == 2) & (two - one == 1) & (letter("token", one) == letter("other", two)) & (letter("token", two) == letter("other", one))
     return pairs.where(((edits >= 0) & (edits <= 1)) | ((edits == 2) & swap))
 
 
