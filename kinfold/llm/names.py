@@ -275,6 +275,8 @@ def compared(a: list[str], own_a: list[str], wa: list[float], b: list[str], own_
         ia, ib = {i for i, _, _ in matches}, {j for _, j, _ in matches}
         left, other = (sum(w for k, w in zip(range(len(t)), ws, strict=False) if k not in seen) for t, ws, seen in ((a, wa, ia), (b, wb, ib)))
         x = got / (total + min(left, other))
+        if left and other:  # many common words do not make up for a contradiction
+            x = min(x, (date + anchor[2] * weight(*anchor[:2])) / (date + weight(*anchor[:2]) + min(left, other)))
         if not n or (x > best[0] and not (left or other)):
             more_a, more_b = any(len(a[i]) > 1 == len(b[j]) for i, j, _ in matches), any(len(b[j]) > 1 == len(a[i]) for i, j, _ in matches)
             best = x, left > 0, other > 0, more_a, more_b, any(s < 0.9 for _, _, s in matches)
