@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from math import exp
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,8 +15,11 @@ from kinfold.scratch import Scratch
 
 #: Dimensions of the projection (even), confidence of the stopping test, rows behind the top tree at most.
 DIMENSIONS, CONFIDENCE, FIT_ROWS = 12, 0.995, 20_000
-#: Rows of a block at least and usually at most; blocks of a group at most.
-BLOCK_LEAST, BLOCK_MOST, BLOCKS = 8_192, 131_072, 1_024
+#: Share of the probability of where a neighbour lies that the blocks a row is sent to must cover.
+COVERED = 0.97
+#: Rows of a block at least and at most, bytes of its vectors at most, blocks of a group at most (beyond it a block has more parts),
+#: and rows sent to a task for each of the block's own.
+BLOCK_LEAST, BLOCK_MOST, BLOCK_BYTES, BLOCKS, VISITORS = 8_192, 131_072, 8 << 20, 4_096, 4
 LEAF = 512
 
 
@@ -174,30 +176,75 @@ def search_both(v: np.ndarray, p: np.ndarray, w: np.ndarray, o: np.ndarray, k: i
     return [left.found(one.order, two.order)] if same else [left.found(one.order, two.order), right.found(two.order, one.order)]
 
 
+def normal_cdf(x: np.ndarray) -> np.ndarray:
+    """The normal distribution function, to 1e-7 (Abramowitz and Stegun 26.2.17)."""
+    t = 1 / (1 + 0.2316419 * np.abs(x))
+    tail = np.exp(-x * x / 2) * 0.3989422804014327 * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    return np.where(x > 0, 1 - tail, tail)
+
+
 class TopTree:
     """Splits of the projected space into 2**depth cells, fitted on a bounded sample."""
 
     def __init__(self, sample: np.ndarray, cells: int):
-        self.splits: list[list[tuple[int, float]]] = []
+        self.dims: list[np.ndarray] = []
+        self.values: list[np.ndarray] = []
         parts = [sample]
-        while 2 ** len(self.splits) < cells:
-            level, following = [], []
+        low = np.full((1, sample.shape[1]), -np.inf)
+        high = np.full((1, sample.shape[1]), np.inf)
+        #: bounds of the cells of each level
+        self.low, self.high = [low], [high]
+        while 2 ** len(self.dims) < cells:
+            dims, values, following = [], [], []
             for p in parts:
                 d = int((p.max(0) - p.min(0)).argmax()) if len(p) else 0
                 value = float(np.median(p[:, d])) if len(p) else 0.0
-                level.append((d, value))
+                dims.append(d)
+                values.append(value)
                 following += [p[p[:, d] <= value], p[p[:, d] > value]]
-            self.splits.append(level)
+            self.dims.append(np.array(dims))
+            self.values.append(np.array(values))
+            low, high = np.repeat(low, 2, 0), np.repeat(high, 2, 0)
+            at = np.arange(len(parts))
+            high[2 * at, dims] = np.minimum(high[2 * at, dims], values)
+            low[2 * at + 1, dims] = np.maximum(low[2 * at + 1, dims], values)
+            self.low.append(low)
+            self.high.append(high)
             parts = following
 
     def cell(self, points: np.ndarray) -> np.ndarray:
         at = np.zeros(len(points), np.int64)
-        for level in self.splits:
-            d = np.array([x[0] for x in level])[at]
-            value = np.array([x[1] for x in level])[at]
-            at = 2 * at + (points[np.arange(len(points)), d] > value)
+        for dims, values in zip(self.dims, self.values, strict=True):
+            at = 2 * at + (points[np.arange(len(points)), dims[at]] > values[at])
         return at
 
+    def visits(self, points: np.ndarray, cosine: np.ndarray, covered: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell): the cells, the own one first, that hold a neighbour of the given cosine with the probability `covered` together.
+
+        Of a unit vector with projection x, another one at the cosine c has a projection that is normal around c * x with the variance
+        1 - c * c in every direction, so the probability of a cell is a product of normal probabilities, one for each
+        dimension. Cells are found down the tree; those that are very unlikely are left with all below them.
+        """
+        sd = np.sqrt(np.maximum(1e-9, 1 - cosine * cosine))
+        mean = points * cosine[:, None]
+        row, node, p = np.arange(len(points)), np.zeros(len(points), np.int64), np.ones(len(points))
+        least = (1 - covered) / (8 * max(1, len(self.low[-1])))
+        for level, (dims, values) in enumerate(zip(self.dims, self.values, strict=True)):
+            d = dims[node]
+            x, s = mean[row, d], sd[row]
+            lower, upper = normal_cdf((self.low[level][node, d] - x) / s), normal_cdf((self.high[level][node, d] - x) / s)
+            share = np.clip((normal_cdf((values[node] - x) / s) - lower) / np.maximum(upper - lower, 1e-300), 0, 1)
+            row, node, p = np.concatenate([row, row]), np.concatenate([2 * node, 2 * node + 1]), np.concatenate([p * share, p * (1 - share)])
+            keep = p >= least
+            row, node, p = row[keep], node[keep], p[keep]
+        own = self.cell(points)
+        order = np.lexsort((-p, node != own[row], row))
+        row, node, p = row[order], node[order], p[order]
+        before = np.cumsum(p) - p
+        start = np.searchsorted(row, row)
+        keep = (before - before[start] < covered) & (node != own[row])
+        return np.concatenate([np.arange(len(points)), row[keep]]), np.concatenate([own, node[keep]])
+
 
 def _project(trees: dict[tuple[str, int], TopTree], m: int):
     """Adds block, vector and projection as bytes to (grp, dim, id, v, query)."""
@@ -224,20 +271,21 @@ def _project(trees: dict[tuple[str, int], TopTree], m: int):
 _PROJECTED = "grp string, dim int, id string, query boolean, block bigint, v binary, p binary"
 
 
-def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, floor: float | None = None, query: str | None = None, dimensions: int = DIMENSIONS, confidence: float = CONFIDENCE) -> DataFrame:
+def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, floor: float | None = None, query: str | None = None, dimensions: int = DIMENSIONS, confidence: float = CONFIDENCE, covered: float = COVERED) -> DataFrame:
     """(group, key, neighbour, cosine): up to k most similar others of every key within its group; groups and keys as strings.
 
     `floor` is a cosine below which no neighbour is wanted, `query` a boolean column: only keys where it is true are
     searched for (against all). Equal cosines go by the smaller key. Vectors that are null, empty, of zero length or hold
-    nulls or NaN take no part; vectors of another dimension are another group. Repeated rows count once. Each true
+    nulls or NaN take no part; vectors of another dimension are another group. Repeated rows count once. Within a block each true
     neighbour is verified with at least the probability `confidence` (the chi-square test's); the cosines are exact.
 
     Exact copies are searched once: the tree holds distinct vectors, and copies get each other and their representative's
     neighbours afterwards. The space is cut into blocks of a bounded number of rows by a top tree fitted on at most
-    FIT_ROWS rows; every row is indexed. Pairs of blocks whose boxes are too far apart for `floor` are left out.
+    FIT_ROWS rows; every row is indexed. A row is sent to its own block and to those that hold its neighbours with the probability
+    `covered`, at the cosine of `floor`, or without one at that of the k-th neighbour in its own block, which a first round finds. Whoever
+    meets there counts for both, so a pair is missed only if neither of the two is sent to the other's block.
     """
     scratch = Scratch(vectors.sparkSession, "neighbours")
-    spark = vectors.sparkSession
     v = F.col(vector)
     usable = v.isNotNull() & (F.size(v) > 0) & F.col(key).isNotNull() & F.col(group).isNotNull() & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.where(usable).select(F.col(group).cast("string").alias("grp"), F.col(key).cast("string").alias("id"), v.cast("array<float>").alias("v"), (F.col(query) if query else F.lit(True)).alias("query"))
@@ -250,7 +298,8 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
 
     # top trees, from a bounded sample of each group
     counts = {(r.grp, r.dim): r.n for r in distinct.groupBy("grp", "dim").agg(F.count(F.lit(1)).alias("n")).collect()}
-    cells = {g: min(BLOCKS, max(1, -(-n // max(BLOCK_LEAST, min(BLOCK_MOST, n // 24), -(-n // BLOCKS))))) for g, n in counts.items()}
+    aim = {g: max(1, min(BLOCK_BYTES // (4 * g[1]), BLOCK_MOST, max(BLOCK_LEAST, n // 24))) for g, n in counts.items()}
+    cells = {g: min(BLOCKS, 1 << max(0, -(-n // aim[g]) - 1).bit_length()) for g, n in counts.items()}
     trees: dict[tuple[str, int], TopTree] = {}
     large = [g for g in counts if cells[g] > 1]
     if large:
@@ -263,32 +312,21 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             trees[g, dim] = TopTree(x @ projection(dim, dimensions), cells[g, dim])
     projected = scratch.save(distinct.select("grp", "dim", "id", "v", "query").mapInArrow(_project(trees, dimensions), _PROJECTED))
-
-    # blocks with their boxes; a cell with far more rows than its share is cut into chunks
-    crowded = [(r.grp, r.dim, r.block, -(-r.n // (2 * BLOCK_LEAST))) for r in projected.groupBy("grp", "dim", "block").agg(F.count(F.lit(1)).alias("n")).collect() if r.n > 2 * max(BLOCK_LEAST, counts[r.grp, r.dim] // cells[r.grp, r.dim])]
-    if crowded:  # at most as many as there are cells
-        parts = F.broadcast(spark.createDataFrame(crowded, "grp string, dim int, block bigint, parts bigint"))
-        chunk = F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1)))
-        projected = projected.join(parts, ["grp", "dim", "block"], "left").withColumn("block", F.col("block") + F.lit(BLOCKS) * chunk).drop("parts").select(*projected.columns)
-    boxes = projected.select("grp", "dim", "block", "query", "p").groupBy("grp", "dim", "block").applyInArrow(_box(dimensions), "grp string, dim int, block bigint, n bigint, queries bigint, low array<float>, high array<float>") if large or crowded else None
     chi = chi_square_quantile(confidence, dimensions)
-    if boxes is None:
-        pairs = [(g, dim, 0, 0) for g, dim in counts]
+    one_way = query is not None
+    hits = None
+    visits = projected.withColumn("cosine", F.lit(floor if floor is not None else 1.0).cast("double"))
+    if floor is None and large:
+        # the first round stays at home; what it finds tells how far to go
+        hits = scratch.save(_searched(projected.withColumn("home", F.lit(True)), aim, k, chi, floor, dimensions, one_way))
+        kth = _first(hits, k).groupBy("grp", "id").agg(F.when(F.count(F.lit(1)) == k, F.min("cosine")).alias("cosine"))
+        visits = projected.join(kth, ["grp", "id"], "left").withColumn("cosine", F.greatest(F.lit(0.0), F.coalesce("cosine", F.lit(0.0)))).select(*projected.columns, "cosine")
+    if large:
+        visits = scratch.save(visits.mapInArrow(_sent(trees, dimensions, covered, one_way), _VISITS))
     else:
-        info = boxes.toPandas()
-        pairs = _block_pairs(info, chi, floor, one_way=query is not None)
-    pair_rows = [(i, *p) for i, p in enumerate(pairs)]
-    pair_df = spark.createDataFrame(pair_rows or [(0, "", 0, 0, 0)], "pair int, grp string, dim int, one bigint, two bigint")
-    if not pair_rows:
-        pair_df = pair_df.limit(0)
-    at = pair_df  # at most BLOCKS squared halves of a group; Spark broadcasts it where that is small
-    left = projected.join(at, (projected.grp == pair_df.grp) & (projected.dim == pair_df.dim) & (projected.block == pair_df.one)).select("pair", projected.grp, projected.dim, "id", "query", "v", "p", F.lit(0).alias("side"), (F.col("one") == F.col("two")).alias("same"))
-    right = projected.join(at, (projected.grp == pair_df.grp) & (projected.dim == pair_df.dim) & (projected.block == pair_df.two) & (pair_df.one != pair_df.two)).select("pair", projected.grp, projected.dim, "id", "query", "v", "p", F.lit(1).alias("side"), F.lit(False).alias("same"))
-    if query:
-        left = left.where(F.col("query") | F.col("same"))
-    tasks = left.unionByName(right).repartition(max(1, min(len(pair_rows), 20_000)), "pair")
-    hits = tasks.groupBy("pair").applyInArrow(_search_pair(k, chi, floor, dimensions, query is not None), "grp string, id string, neighbour string, cosine double")
-    best = _first(hits, k)
+        visits = visits.withColumn("home", F.lit(True))
+    found = _searched(visits, aim, k, chi, floor, dimensions, one_way)
+    best = _first((found if hits is None else hits.unionByName(found)).groupBy("grp", "id", "neighbour").agg(F.max("cosine").alias("cosine")), k)
     if members is not None:
         best = _with_copies(best, members, k, scratch)
         if query:
@@ -296,6 +334,58 @@ def top_k(vectors: DataFrame, group: str, key: str, vector: str, k: int = 5, flo
     return best.select(F.col("grp").alias(group), F.col("id").alias(key), "neighbour", "cosine")
 
 
+_VISITS = _PROJECTED + ", home boolean"
+
+
+def _sent(trees: dict[tuple[str, int], TopTree], m: int, covered: float, one_way: bool):
+    """Each row once for each block that it is sent to; `home` where it is its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            groups, dims = np.array(b.column(0).to_pylist(), object), b.column(1).to_numpy(zero_copy_only=False)
+            for g, dim in {(g, int(d)) for g, d in zip(groups, dims, strict=True)}:
+                rows = b.filter(pa.array((groups == g) & (dims == dim)))
+                n = rows.num_rows
+                at, block = np.arange(n), np.zeros(n, np.int64)
+                if (g, dim) in trees:
+                    points = np.frombuffer(b"".join(rows.column(6).to_pylist()), np.float32).reshape(n, m).astype(np.float64)
+                    at, block = trees[g, dim].visits(points, rows.column(7).to_numpy(zero_copy_only=False), covered)
+                home = np.arange(len(at)) < n
+                if one_way:
+                    keep = home | rows.column(3).to_numpy(zero_copy_only=False)[at]
+                    at, block, home = at[keep], block[keep], home[keep]
+                sent = rows.take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*(sent.column(k) for k in range(4)), pa.array(block, pa.int64()), sent.column(5), sent.column(6), pa.array(home)], names=[f.split()[0] for f in _VISITS.split(", ")])
+
+    return run
+
+
+def _searched(visits: DataFrame, aim: dict[tuple[str, int], int], k: int, chi: float, floor: float | None, m: int, one_way: bool) -> DataFrame:
+    """Hits of the rows at home in a block among themselves and with those that are sent to it.
+
+    A task holds one part of a block's own rows and one of the rows sent to it, of bounded size: parts of own rows are sent to each other.
+    """
+    spark = visits.sparkSession
+    sizes = visits.groupBy("grp", "dim", "block").agg(F.count_if("home").alias("own"), F.count_if(~F.col("home")).alias("others")).collect()
+    plan = []
+    for r in sizes:
+        parts = max(1, round(r.own / aim[r.grp, r.dim] / 2))
+        others = r.others + (r.own * (parts - 1) // parts)
+        plan.append((r.grp, r.dim, r.block, parts, max(1, -(-others // (VISITORS * aim[r.grp, r.dim])))))
+    # one row a block: at most BLOCKS of each group and dimension
+    plan_df = F.broadcast(spark.createDataFrame(plan, "grp string, dim int, block bigint, parts bigint, chunks bigint"))
+    part = F.pmod(F.xxhash64("id"), F.col("parts"))
+    placed = visits.join(plan_df, ["grp", "dim", "block"]).withColumn("own_part", part).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    placed = placed.withColumn("resident", F.col("home") & (F.col("part") == F.col("own_part")))
+    if one_way:
+        placed = placed.where("resident OR query")
+    mine = F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)
+    placed = placed.withColumn("chunk", F.explode(F.when(F.col("resident"), mine).otherwise(F.array(F.pmod(F.xxhash64("id", F.lit(7)), F.col("chunks"))))))
+    task = placed.select(F.xxhash64("grp", "dim", "block", "part", "chunk").alias("task"), "grp", "dim", "block", "part", "chunk", "id", "query", "v", "p", F.when(F.col("resident"), 0).otherwise(1).alias("side"))
+    n_tasks = sum(p * c for *_, p, c in plan)
+    return task.repartition(max(1, min(n_tasks, 20_000)), "task").groupBy("grp", "dim", "block", "part", "chunk", "task").applyInArrow(_search_task(k, chi, floor, m, one_way), "grp string, id string, neighbour string, cosine double")
+
+
 def _first(hits: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("grp", "id").orderBy(F.desc("cosine"), "neighbour")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).drop("rank")
@@ -320,31 +410,7 @@ def _bytes(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, width)
 
 
-def _box(m: int):
-    def run(part: pa.Table) -> pa.Table:
-        p = _bytes(part["p"], m)
-        floats = pa.list_(pa.float32())
-        return pa.table({"grp": pa.array(part["grp"][:1].to_pylist(), pa.string()), "dim": pa.array(part["dim"][:1].to_pylist(), pa.int32()), "block": pa.array(part["block"][:1].to_pylist(), pa.int64()), "n": pa.array([len(p)], pa.int64()), "queries": pa.array([sum(part["query"].to_pylist())], pa.int64()), "low": pa.array([p.min(0)], floats), "high": pa.array([p.max(0)], floats)})
-
-    return run
-
-
-def _block_pairs(info: pd.DataFrame, chi: float, floor: float | None, one_way: bool) -> list[tuple[str, int, int, int]]:
-    reach = chi * (2 - 2 * floor if floor is not None else 4.0)
-    out = []
-    for (g, dim), part in info.groupby(["grp", "dim"]):
-        low, high, blocks, queries = np.stack(part.low.to_numpy()), np.stack(part.high.to_numpy()), part.block.to_numpy(), part.queries.to_numpy()
-        for i in range(len(part)):
-            if one_way and not queries[i]:
-                continue
-            start = 0 if one_way else i
-            gap = np.maximum(0, np.maximum(low[start:] - high[i], low[i] - high[start:]))
-            near = (gap * gap).sum(1) <= reach
-            out += [(g, int(dim), int(blocks[i]), int(blocks[start + j])) for j in np.flatnonzero(near)]
-    return out
-
-
-def _search_pair(k: int, chi: float, floor: float | None, m: int, one_way: bool):
+def _search_task(k: int, chi: float, floor: float | None, m: int, one_way: bool):
     def run(part: pa.Table) -> pa.Table:
         dim = part["dim"][0].as_py()
         v = _bytes(part["v"], dim).astype(np.float64)
@@ -356,19 +422,22 @@ def _search_pair(k: int, chi: float, floor: float | None, m: int, one_way: bool)
         v, p, ids, side, asks = v[order], p[order], ids[order], part["side"].to_numpy()[order], np.array(part["query"].to_pylist(), bool)[order]
         one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         hits = []
-        if not one_way:
-            same = part["same"][0].as_py()
-            found = search_both(v[one], p[one], v[two], p[two], k, chi, floor, same) if same or len(one) and len(two) else []
-            sides = [(one, one)] if same else [(one, two), (two, one)]
-            hits = [(x[a], y[b], c) for (x, y), (a, b, c) in zip(sides, found, strict=False)]
-        elif part["same"][0].as_py():
-            q = np.flatnonzero(asks)
-            if len(q):
-                a, b, c = search(v[q], p[q], v, p, k, chi, floor, q)
-                hits.append((q[a], b, c))
-        elif len(one) and len(two):
-            a, b, c = search(v[one], p[one], v[two], p[two], k, chi, floor)
-            hits.append((one[a], two[b], c))
+        alone = part["chunk"][0].as_py() == 0  # own rows among themselves once
+        if one_way:
+            q = np.flatnonzero(asks & (side == 0))
+            if alone and len(q):
+                a, b, c = search(v[q], p[q], v[one], p[one], k, chi, floor, np.searchsorted(one, q))
+                hits.append((q[a], one[b], c))
+            if len(one) and len(two):
+                a, b, c = search(v[two], p[two], v[one], p[one], k, chi, floor)
+                hits.append((two[a], one[b], c))
+        else:
+            if alone and len(one):
+                ((a, b, c),) = search_both(v[one], p[one], v[one], p[one], k, chi, floor, True)
+                hits.append((one[a], one[b], c))
+            if len(one) and len(two):
+                (a, b, c), (x, y, z) = search_both(v[one], p[one], v[two], p[two], k, chi, floor, False)
+                hits += [(one[a], two[b], c), (two[x], one[y], z)]
         a, b, c = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else (np.empty(0, int), np.empty(0, int), np.empty(0))
         return pa.table({"grp": pa.array([part["grp"][0].as_py()] * len(c), pa.string()), "id": pa.array(ids[a].tolist(), pa.string()), "neighbour": pa.array(ids[b].tolist(), pa.string()), "cosine": pa.array(c, pa.float64())})
 

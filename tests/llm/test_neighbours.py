@@ -62,6 +62,39 @@ def test_blocks(spark, monkeypatch, floor):
         assert len(rows) == 5 * len(x)
 
 
+@pytest.mark.parametrize("cells,most", [(64, 0.2), (256, 0.12), (1024, 0.06)])
+def test_rows_are_sent_to_few_blocks(cells, most):
+    """At a cosine of 0.9, of all pairs that are so similar at least 0.98 meet, and the copies of a row grow much slower than the blocks."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((20_000, 64))
+    y = 0.9 * x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = rng.standard_normal(x.shape)
+    n -= (n * x).sum(1, keepdims=True) * x / (x * x).sum(1, keepdims=True)
+    y += np.sqrt(1 - 0.81) * n / np.linalg.norm(n, axis=1, keepdims=True)  # a neighbour at the cosine 0.9 exactly
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    p, q = u @ neighbours.projection(64, 12), y @ neighbours.projection(64, 12)
+    tree = neighbours.TopTree(p, cells)
+    (rp, cp), (rq, cq) = (tree.visits(z, np.full(len(z), 0.9), neighbours.COVERED) for z in (p, q))
+    of_p, of_q = set(zip(rp.tolist(), cp.tolist(), strict=True)), set(zip(rq.tolist(), cq.tolist(), strict=True))
+    assert (cp[: len(p)] == tree.cell(p)).all() and len(of_p) == len(rp)
+    met = [(i, b) in of_p or (i, a) in of_q for i, (a, b) in enumerate(zip(tree.cell(p).tolist(), tree.cell(q).tolist(), strict=True))]
+    assert np.mean(met) >= 0.98
+    assert len(rp) / len(p) < most * cells
+
+
+def test_normal_cdf():
+    assert np.allclose(neighbours.normal_cdf(np.array([-np.inf, -1.96, 0.0, 1.0, np.inf])), [0, 0.0249979, 0.5, 0.8413447, 1], atol=1e-6)
+
+
+def test_wide_vectors_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_BYTES", 4 * 1536 * 100)
+    x = clusters(600, 1536)
+    s, near = brute(x, 5)
+    want = {(f"{i:05}", f"{j:05}") for i in range(len(x)) for j in near[i] if s[i, j] >= 0.9}
+    got = {(r.hash, r.neighbour) for r in top_k(frame(spark, x), "field", "hash", "v", 5, 0.9).collect()}
+    assert want and len(got & want) / len(want) > 0.97
+
+
 def test_asked_only(spark):
     x = clusters(400)
     df = frame(spark, x).withColumn("asked", F.col("hash") < "00020")
