@@ -16,6 +16,8 @@ from kinfold.llm.tokens import VOCABULARY, encoding
 _LINE, _PAGE = "\n\u0085\u2028", "\f\u2029"
 _BLANK = " \t\v\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000" + _LINE + _PAGE
 _SENTENCE, _CLAUSE, _DASH, _CLOSING = ".!?\u2026", ";:,", "-\u2013\u2014", "\"')]\u201d\u2019\u00bb"
+#: How much stronger a boundary must be for another piece.
+STRONGER = 2
 _WIDE_SENTENCE, _WIDE_CLAUSE = "\u3002\uff01\uff1f", "\uff1b\uff1a\uff0c\u3001"
 
 
@@ -71,13 +73,14 @@ def boundary_strengths(text: str) -> np.ndarray:
     return out
 
 
-def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, window: float = 0.25) -> list[tuple[int, int, int, int]]:
+def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, window: float = 0.25, spare: float = 0.05) -> list[tuple[int, int, int, int]]:
     """(start, end, own, tokens) of each piece: characters [start, end), of which [start, own) repeat the piece before.
 
-    The fewest pieces that can hold the text are tried first, cut at equal distances; each cut moves to the strongest
-    boundary within `window` of a piece's length around it, the nearest of several. If any piece, counted on its own, is above
-    `limit` tokens, one more piece is tried. Where no boundary is near, the cut stays between two tokens. The overlap
-    is `overlap` tokens of the text, more by the rest of a character and less only where the piece before is shorter.
+    The text gets the fewest pieces that can hold it, cut at equal distances; each cut moves to the strongest boundary within
+    `window` of a piece's length around it: of several the nearest. Cuts are kept where the pieces to come can hold the rest, but for the sake of a boundary stronger by STRONGER the text may get one
+    more piece, or a share of `spare` more. A piece that, counted on its own, is above `limit` tokens is cut earlier. Where a limit fails, the rest of the
+    text gets one more piece, at equal distances from there on: cuts made before stay. Where no boundary is near, the cut stays between two tokens.
+    The overlap is `overlap` tokens of the text, more by the rest of a character and less only where the piece before is shorter.
     """
     starts = token_starts(text, path)
     n = len(starts) - 1
@@ -85,51 +88,51 @@ def split_text(text: str, limit: int, overlap: int, path: str = VOCABULARY, wind
         return [(0, len(text), 0, n)] if n else []
     strength = boundary_strengths(text)
     enc, _ = encoding(path)
-    count = max(2, -(-(n - overlap) // (limit - overlap)))
+    count = lambda a, b: len(enc.encode_to_numpy(text[a:b], disallowed_special=()))
+    last = int(np.searchsorted(starts, len(text), "left")) - 1
+    room = limit - overlap
+    left = max(2, -(-(n - overlap) // room))
+    spared = max(1, int(spare * left))
+    pieces: list[tuple[int, int, int, int]] = []
+    start = own = previous = 0
     while True:
-        cuts, previous, failed = [0], 0, False
-        for j in range(1, count):
-            target = n * j / count if not overlap else overlap + (n - overlap) * j / count
-            reach = max(1, int(window * (n / count)))
-            # the piece from (cut before - overlap) may have `limit` tokens; the cut must move on by one token at least
-            low = max(int(target) - reach, previous + 1)
-            # a cut may split a token or two, so the slice of tokens stays a little below the limit
-            high = min(int(target) + reach, max(1, (limit - overlap if previous else limit) - 2) + previous, n - 1)
-            if low > high:
-                failed = True
-                break
+        repeated = overlap if pieces else 0
+        if left == 1:
+            if (tokens := count(start, len(text))) <= limit:
+                return [*pieces, (start, len(text), own, tokens)]
+            left = 2
+        length = (n - previous + repeated + (left - 1) * overlap) / left
+        target, reach = previous + length - repeated, max(1, int(window * length))
+        first = max(previous + 1, int(np.searchsorted(starts, own, "right")))
+        low, high = max(int(target) - reach, first), min(int(target) + reach, previous + limit - repeated, last)
+        # from here on the pieces to come can hold the rest, and half the room that each has above its share is left to them
+        fits = max(low, n - int((left - 1) * (room + min(room, length - overlap)) / 2))
+        if fits <= high and (not spared or strength[starts[low] : starts[high] + 1].max() < strength[starts[fits] : starts[high] + 1].max() + STRONGER):
+            low = fits
+        at = None
+        while low <= high:
             a, b = int(starts[low]), int(starts[high])
             near = strength[a : b + 1]
-            best = int(near.max()) if len(near) else 0
-            if best:
+            if best := int(near.max()):
                 places = np.flatnonzero(near == best) + a
-                aim = starts[min(max(int(target), low), high)]
-                at = int(places[np.abs(places - aim).argmin()])
+                at = int(places[np.abs(places - starts[min(max(int(target), low), high)]).argmin()])
             else:
-                at = int(starts[min(max(round(target), low), high)])
-            if at <= cuts[-1] or at >= len(text):
-                failed = True
+                at = int(starts[min(max(round(target), low, fits), high)])
+            if (tokens := count(start, at)) <= limit:
                 break
-            cuts.append(at)
-            previous = int(np.searchsorted(starts, at, "left"))
-        if not failed and n - previous + (overlap if previous else 0) > limit:
-            failed = True
-        if not failed:
-            cuts.append(len(text))
-            pieces = []
-            for k in range(len(cuts) - 1):
-                own = cuts[k]
-                start = own if k == 0 else int(starts[max(0, int(np.searchsorted(starts, own, "left")) - overlap)])
-                tokens = len(enc.encode_to_numpy(text[start : cuts[k + 1]], disallowed_special=()))
-                if tokens > limit:
-                    failed = True
-                    break
-                pieces.append((start, cuts[k + 1], own, tokens))
-            if not failed:
-                return pieces
-        count += 1
-        if count > len(text):
-            raise ValueError(f"a single character has more than {limit} tokens beside an overlap of {overlap}")
+            high = min(high, int(np.searchsorted(starts, at, "right")) - 1) - (tokens - limit)
+            at = None
+        if at is None:
+            left += 1
+            if left > len(text):
+                raise ValueError(f"a single character has more than {limit} tokens beside an overlap of {overlap}")
+            continue
+        pieces.append((start, at, own, tokens))
+        own, previous = at, int(np.searchsorted(starts, at, "left"))
+        start = min(at, int(starts[max(0, previous - overlap)]))
+        if n - previous > (left - 1) * room:
+            left, spared = left + 1, max(0, spared - 1)
+        left -= 1
 
 
 def split_documents(documents: DataFrame, limit: int, overlap: int, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:

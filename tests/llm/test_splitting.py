@@ -61,3 +61,14 @@ def test_documents(spark):
     assert split_documents(df.limit(0), 256, 32).count() == 0
     with pytest.raises(ValueError):
         split_documents(df, 100, 50)
+
+
+def test_fewest_pieces():
+    """Texts with breaks get few pieces more than their tokens need."""
+    rng = random.Random(2)
+    for n in (40, 400, 2000):
+        text = "\n\n".join(" ".join(rng.choice(["Alpha runs here.", "beta sits,", "gamma"]) for _ in range(rng.randint(3, 40))) for _ in range(n))
+        tokens = count_tokens(text, VOCABULARY)
+        pieces = check(text, 200, 20)
+        least = -(-(tokens - 20) // 180)
+        assert len(pieces) <= least + max(1, 0.08 * least)
