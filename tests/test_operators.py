@@ -151,6 +151,18 @@ def test_hot_deck_levels_and_numbers(spark):
     assert got["e"] == (20.0, 0, 3) and got["f"] == (20.0, 1, 4) and got["a"][0] == 10.0
 
 
+def test_nearest_hot_deck(spark):
+    rows = [("a", "g", "t", "x", 1.0, "p"), ("b", "g", "t", "y", 1.5, "q"), ("c", "g", "u", "x", 90.0, "q"), ("d", "g", "t", "x", 1.2, None), ("e", "g", None, "x", None, None), ("f", "g", "z", "z", 3.0, None), ("h", "h", "t", "x", 1.0, None), ("i", None, "t", "x", 1.0, None)]
+    df = spark.createDataFrame(rows, "id string, grp string, title string, other string, size double, hash string").withColumn("value", F.lit("clash")).withColumn("donor", F.lit(0))
+    run = lambda **more: {r.id: (r.value, r.donors, r.distance, r.donor) for r in hotdeck.nearest_hot_deck(df, "id", "hash", ["grp"], {"title": 2.0, "other": 1.0}, **more).collect()}
+    near, whole, numbers = run(), run(whole_block=True), run(numbers={"size": (4.0, 1.0)})
+    assert near["d"] == ("p", 1, 0.0, "a") and near["e"] == ("p", 2, 2.0, "a") and near["f"] == ("q", 3, 3.0, "b")
+    assert whole["d"] == ("q", 3, 1.0, "b") and whole["f"] == ("q", 3, 3.0, "b")
+    assert numbers["d"] == ("p", 1, 0.0, "a") and numbers["f"] == ("p", 2, 5.0, "a")
+    assert all(x["h"] == x["i"] == (None, 0, None, None) and x["a"] == ("p", 0, None, None) for x in (near, whole, numbers))
+    assert hotdeck.nearest_hot_deck(df.limit(0), "id", "hash", ["grp"], {"title": 1.0}).count() == 0
+
+
 def test_hot_deck_hot_block_and_empty(spark):
     rows = [(str(i), "hot" if i % 3 else f"b{i}", None if i % 7 == 0 else f"v{i % 4}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id string, bib string, hash string")
