@@ -9,6 +9,8 @@ from kinfold.operators.graph import _both_ways, hashed_vertices, min_propagation
 from kinfold.operators.skew import lookup_join
 from kinfold.scratch import Scratch
 
+#: Steps of the breadth-first peel at most. Giant components of match graphs are a few steps wide; a long chain costs each of its steps a join.
+PEEL_ROUNDS = 24
 _SPACE = r"[\s\p{Z}\x{FEFF}]+"
 
 
@@ -17,12 +19,12 @@ def clean_id(c: Column) -> Column:
     return F.nullif(F.regexp_replace(c, f"^{_SPACE}|{_SPACE}$", ""), F.lit(""))
 
 
-def _peel(edges: DataFrame, scratch: Scratch, least_growth: float) -> tuple[DataFrame | None, DataFrame]:
+def _peel(edges: DataFrame, scratch: Scratch, rounds: int) -> tuple[DataFrame | None, DataFrame]:
     """(visited (a, root) or None, edges that are left).
 
-    Starts at the vertex of the highest degree and follows the frontier while a step adds at least `least_growth` of
-    what was visited. A tail that is left when the frontier becomes that thin stays connected: its edges to visited
-    vertices come out as edges to the start, and minimum propagation follows it in fewer rounds than steps.
+    Starts at the vertex of the highest degree and follows the frontier to its end, for `rounds` steps at most. What is
+    left of a longer component after that stays connected: its edges to visited vertices come out as edges to
+    the start, and minimum propagation follows it in fewer rounds than steps.
     """
     ends = _both_ways(edges)
     first = ends.groupBy("a").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "a").limit(1).collect()
@@ -31,17 +33,16 @@ def _peel(edges: DataFrame, scratch: Scratch, least_growth: float) -> tuple[Data
     start = first[0]["a"]
     spark = edges.sparkSession
     frontier = spark.createDataFrame([(start,)], "a long")
-    visited, size = frontier, 1
+    visited, tail = frontier, None
     layers = [frontier]
-    while True:
+    for step in range(rounds):
         reached = ends.join(frontier, "a", "left_semi").select(F.col("b").alias("a")).distinct()
         for layer in layers[-2:]:  # neighbours of a layer lie in it, the one before and the next
             reached = reached.join(layer, "a", "left_anti")
         reached, new = scratch.save_counted(reached)
-        if new == 0 or new < least_growth * size:
-            tail = reached if new else None
+        tail = reached if new and step == rounds - 1 else None
+        if not new or tail is not None:
             break
-        size += new
         layers.append(reached)
         visited = visited.unionByName(reached)
         frontier = reached
@@ -52,7 +53,7 @@ def _peel(edges: DataFrame, scratch: Scratch, least_growth: float) -> tuple[Data
     return visited.select("a", F.lit(start).alias("root")), scratch.save(rest.select("u", "v"))
 
 
-def match_groups(pairs: DataFrame, left: str = "record1_id", right: str = "record2_id", least_growth: float = 0.05) -> DataFrame:
+def match_groups(pairs: DataFrame, left: str = "record1_id", right: str = "record2_id", rounds: int = PEEL_ROUNDS) -> DataFrame:
     """(record_id, group_id, group_size): every record of a pair with both ids, and the smallest record id reachable from it.
 
     Ids are compared without surrounding white space; a row where either id is null or empty is no match and is ignored.
@@ -63,7 +64,7 @@ def match_groups(pairs: DataFrame, left: str = "record1_id", right: str = "recor
     pairs = pairs.select(clean_id(F.col(left)).alias("a"), clean_id(F.col(right)).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
     vertices, seed = hashed_vertices(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id", scratch)
     edges = scratch.save(undirected(pairs.select(F.xxhash64("a", F.lit(seed)).alias("a"), F.xxhash64("b", F.lit(seed)).alias("b")), "a", "b"))
-    visited, rest = _peel(edges, scratch, least_growth)
+    visited, rest = _peel(edges, scratch, rounds)
     roots = min_propagation(rest, scratch)
     if visited is not None:
         # the start may have been given another root through the tail
