@@ -158,16 +158,25 @@ def _router(routes: dict[str, set[str]]):
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    subtrees: dict[tuple[str, str], BurstTrie] = {}
+    """Partial counters come in the order of their subtree, so one subtree is held at a time."""
+
+    def counted(key: tuple[str, str], subtree: BurstTrie) -> Iterator[pa.RecordBatch]:
+        g, p = key
+        for prefix, c in subtree.containers():
+            n = len(c)
+            yield pa.RecordBatch.from_arrays([pa.array([g] * n, pa.string()), pa.array([p + prefix + s for s in c], pa.string()), pa.array([x[0] for x in c.values()], pa.int64()), pa.array([x[1] for x in c.values()], pa.int64())], names=["grp", "term", "occurrences", "records"])
+
+    key, subtree = None, BurstTrie()
     for b in batches:
         for g, p, t, o, r in zip(*(b.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True):
-            subtree = subtrees.get((g, p)) or subtrees.setdefault((g, p), BurstTrie())
+            if key != (g, p):
+                if key is not None:
+                    yield from counted(key, subtree)
+                key, subtree = (g, p), BurstTrie()
             for suffix, x, y in zip(t, o, r, strict=True):
                 subtree.add(suffix, x, y)
-    for (g, p), subtree in subtrees.items():
-        for prefix, c in subtree.containers():
-            n = len(c)
-            yield pa.RecordBatch.from_arrays([pa.array([g] * n, pa.string()), pa.array([p + prefix + s for s in c], pa.string()), pa.array([x[0] for x in c.values()], pa.int64()), pa.array([x[1] for x in c.values()], pa.int64())], names=["grp", "term", "occurrences", "records"])
+    if key is not None:
+        yield from counted(key, subtree)
 
 
 def term_counts(values: DataFrame, group: str, value: str, frequency: str, records: str) -> DataFrame:
@@ -188,7 +197,7 @@ def term_counts(values: DataFrame, group: str, value: str, frequency: str, recor
     for g, p in spread.where(F.col("n") >= max(BURST, total / ROUTES)).join(heavy, ["grp", "prefix"], "left_semi").select("grp", "prefix").collect():
         routes.setdefault(g, set()).add(p)
     routed = partial.where("NOT burst").mapInArrow(_router(routes), _PARTIAL)
-    counted = routed.repartition("grp", "prefix").mapInArrow(_merge, "grp string, term string, occurrences bigint, records bigint")
+    counted = routed.repartition("grp", "prefix").sortWithinPartitions("grp", "prefix").mapInArrow(_merge, "grp string, term string, occurrences bigint, records bigint")
     return counted.select(F.col("grp").alias(group), "term", "occurrences", "records")
 
 
