@@ -55,41 +55,70 @@ def reduce_by_dominance(stock: _Stock, capacity: int) -> list[Pattern]:
 
     For the largest item x: a partner of exactly the room left dominates all other sets with x; if no item fits beside x
     it stays alone; if the two smallest others do not fit together beside x, at most one item can join it and the
-    largest that fits dominates. Where none of these holds the item is left for best fit, as are all smaller ones that
-    have no such set.
+    largest that fits dominates. If at most two can join it, let a >= b be the two that fill the room best: the largest single partner
+    dominates if it is as large as both together; the two dominate if a is as large as that partner and no two items
+    between them and b fit. Where none of these holds the item is left for best fit, as are all smaller ones that have no such set.
     """
     fixed: list[Pattern] = []
+
+    def fix(sizes: list[int]) -> None:
+        # in bulk while the condition holds for each: the smallest others only grow as items go
+        m = min(stock.left[s] // sizes.count(s) for s in sizes)
+        fixed.append(Pattern(sizes, m))
+        for s in sorted(set(sizes)):
+            stock.take(s, m * sizes.count(s))
+
     for x in sorted(stock.sizes, reverse=True):
         while n := stock.left.get(x, 0):
             room = capacity - x
-            if room == 0:
-                fixed.append(Pattern([x], n))
-                stock.take(x, n)
-                continue
             y = stock.largest_upto(room)
             if y == x and n == 1:  # the item itself is no partner
                 k = bisect_left(stock.sizes, x)
                 y = stock.sizes[k - 1] if k else None
             if y is None:
-                fixed.append(Pattern([x], n))
-                stock.take(x, n)
+                fix([x])
+                continue
+            small = stock.smallest(3, x)
+            if y == room or len(small) < 2 or sum(small[:2]) > room:
+                fix([x, y])
                 continue
-            two = stock.smallest(2, x)
-            if y != room and len(two) == 2 and sum(two) <= room:
-                break  # three or more may fit: not decided here
-            if y == x:
-                m = n // 2
-                fixed.append(Pattern([x, x], m))
-                stock.take(x, 2 * m)
+            if len(small) == 3 and sum(small) <= room:
+                break  # four or more may fit: not decided here
+            a, b = _best_two(stock, x, room)
+            if y >= a + b:
+                fix([x, y])
+            elif y == a and not _two_between(stock, x, b, a, room):
+                fix([x, a, b])
             else:
-                # in bulk while the condition holds for each: the two smallest only grow as items go
-                m = min(n, stock.left[y])
-                fixed.append(Pattern([x, y], m))
-                stock.take(x, m)
-                stock.take(y, m)
+                break
     return fixed
 
 
+def _others(stock: _Stock, x: int) -> list[tuple[int, int]]:
+    """(size, number) of all items but one of the size x, the smallest first."""
+    return [(s, stock.left[s] - (s == x)) for s in stock.sizes if stock.left[s] > (s == x)]
+
+
+def _best_two(stock: _Stock, x: int, room: int) -> tuple[int, int]:
+    """The two others that fill the room best, the larger one first; of equal sums those with the largest item."""
+    others = _others(stock, x)
+    i, j, best = 0, len(others) - 1, (0, 0, 0)
+    while i <= j:
+        (b, _), (a, n) = others[i], others[j]
+        if a + b > room or (i == j and n < 2):
+            j -= 1
+            continue
+        best = max(best, (a + b, a, b))
+        i += 1
+    return best[1:]
+
+
+def _two_between(stock: _Stock, x: int, b: int, a: int, room: int) -> bool:
+    """Whether two others, each larger than b and smaller than a, fit together."""
+    between = [s for s, n in _others(stock, x) if b < s < a for _ in range(min(n, 2))][:2]
+    return len(between) == 2 and sum(between) <= room
+
+
 def best_fit(stock: _Stock, capacity: int) -> list[Pattern]:
     """Best fit decreasing over the rest: each item goes to the fullest container with room, in bulk over equal sizes."""
     by_room: dict[int, list[Pattern]] = {}
@@ -130,8 +159,14 @@ def best_fit(stock: _Stock, capacity: int) -> list[Pattern]:
 
 def plan(histogram: dict[int, int], capacity: int) -> list[Pattern]:
     """Containers for the items; the instance has at most `capacity` sizes, whatever the number of items."""
+    fixed, rest = plan_parts(histogram, capacity)
+    return fixed + rest
+
+
+def plan_parts(histogram: dict[int, int], capacity: int) -> tuple[list[Pattern], list[Pattern]]:
+    """What dominance fixed, and best fit for the rest."""
     stock = _Stock(histogram)
-    return reduce_by_dominance(stock, capacity) + best_fit(stock, capacity)
+    return reduce_by_dominance(stock, capacity), best_fit(stock, capacity)
 
 
 def _slots(patterns: list[Pattern], first: int) -> dict[str, np.ndarray]:
@@ -151,7 +186,7 @@ def _slots(patterns: list[Pattern], first: int) -> dict[str, np.ndarray]:
 
 
 def pack(documents: DataFrame, capacity: int, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(key, piece_no, first_token, n_tokens, container_id, place): every document, or piece of one, in its container.
+    """(key, piece_no, first_token, n_tokens, container_id, place, fixed): every document, or piece of one, in its container; `fixed` if dominance decided it.
 
     Only a text of more than `capacity` tokens is split, into pieces of `capacity` tokens and a rest. Full pieces have a
     container of their own; all other items are packed together. A document without tokens takes no room: it comes out
@@ -167,10 +202,11 @@ def pack(documents: DataFrame, capacity: int, key: str = "doc_id", text: str = "
     items = items.select(key, "piece_no", (F.col("piece_no") * capacity).alias("first_token"), F.least(F.lit(capacity), F.col("__all") - F.col("piece_no") * capacity).alias("n_tokens"))
     histogram = {r[0]: r[1] for r in items.groupBy("n_tokens").count().collect()}  # at most capacity + 1 rows
     empty = histogram.pop(0, 0)
-    patterns = plan(histogram, capacity)
+    fixed, rest = plan_parts(histogram, capacity)
+    patterns, fixed_below = fixed + rest, sum(p.count for p in fixed)
     slots = _slots(patterns, 0)
     if not slots:
-        return items.select("*", F.lit(None).cast("bigint").alias("container_id"), F.lit(None).cast("bigint").alias("place"))
+        return items.select("*", F.lit(None).cast("bigint").alias("container_id"), F.lit(None).cast("bigint").alias("place"), F.lit(None).cast("boolean").alias("fixed"))
     low = slots["size"] << 40
     starts = low + slots["start"]
 
@@ -184,15 +220,16 @@ def pack(documents: DataFrame, capacity: int, key: str = "doc_id", text: str = "
     n = sum(histogram.values()) + empty
     placed = ranked(items, ["n_tokens"], [key, "piece_no"], "__rank", total=n).withColumn("__at", find("n_tokens", "__rank"))
     some = F.col("n_tokens") > 0
-    return placed.select(key, "piece_no", "first_token", "n_tokens", F.when(some, F.col("__at.container_id")).alias("container_id"), F.when(some, F.col("__at.place")).alias("place"))
+    return placed.select(key, "piece_no", "first_token", "n_tokens", F.when(some, F.col("__at.container_id")).alias("container_id"), F.when(some, F.col("__at.place")).alias("place"), F.when(some, F.col("__at.container_id") < fixed_below).alias("fixed"))
 
 
 def container_report(packed: DataFrame, capacity: int) -> DataFrame:
-    """One row: containers, tokens, share of the room that is used, and the least possible number of containers."""
-    per = packed.where(F.col("container_id").isNotNull()).groupBy("container_id").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("items"))
+    """One row: containers, items and those that dominance fixed, tokens, share of the room that is used, and the least possible number of containers."""
+    per = packed.where(F.col("container_id").isNotNull()).groupBy("container_id").agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("items"), F.count_if("fixed").alias("fixed"))
     return per.agg(
         F.count(F.lit(1)).alias("containers"),
         F.coalesce(F.sum("items"), F.lit(0)).alias("items"),
+        F.coalesce(F.sum("fixed"), F.lit(0)).alias("fixed_items"),
         F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"),
         F.coalesce(F.max("tokens"), F.lit(0)).alias("fullest"),
         F.round(F.coalesce(F.sum("tokens") / (F.count(F.lit(1)) * capacity), F.lit(0.0)), 6).alias("used_share"),

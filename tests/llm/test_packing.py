@@ -47,6 +47,24 @@ def test_reduction_keeps_a_best_packing(seed):
     assert sum(p.count for p in fixed) + least(rest, 20) == least(sizes, 20)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_reduction_of_threes_keeps_a_best_packing(seed):
+    rng = random.Random(100 + seed)
+    sizes = [rng.randint(20, 55) for _ in range(9)]
+    stock = _Stock(Counter(sizes))
+    fixed = reduce_by_dominance(stock, 100)
+    rest = [s for s, n in stock.left.items() for _ in range(n)]
+    assert items(fixed) + Counter(rest) == Counter(sizes)
+    assert sum(p.count for p in fixed) + least(rest, 100) == least(sizes, 100)
+
+
+def test_three_items_are_fixed():
+    """Sizes of about a third of the room: sets of three are decided, in bulk."""
+    stock = _Stock({34: 1000, 33: 2000})
+    fixed = reduce_by_dominance(stock, 100)
+    assert [(sorted(p.sizes), p.count) for p in fixed] == [([33, 33, 34], 1000)] and not stock.left
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_plan(seed):
     rng = random.Random(seed)
