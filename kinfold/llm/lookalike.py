@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinfold.operators.skew import lookup_join
 from kinfold.scratch import Scratch
 
 # Letters of other scripts that look like Latin ones; fixed values.
@@ -28,14 +30,21 @@ INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-
 SPACES = r"[\x{0009}-\x{000D}\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 
+# Kinds of compatibility decomposition (Unicode data) whose two sides look the same; superscripts, circles and fractions look different.
+_SAME_LOOK = ("<font>", "<wide>", "<narrow>", "<small>", "<square>", "<compat>", "<initial>", "<medial>", "<final>", "<isolated>")
+
+
 @lru_cache(maxsize=1)
 def width_forms() -> tuple[str, str, list[tuple[str, str]]]:
-    """Compatibility forms of width, ligatures, Roman numerals and dot leaders: (characters, their one-letter forms, longer forms)."""
+    """Compatibility forms of width, type face, ligatures and the like, of all code points: (characters, their one-letter forms, longer forms)."""
     one, by, longer = [], [], []
-    for point in [*range(0x2024, 0x2027), *range(0x2160, 0x2180), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFEF), *range(0x01C4, 0x01CD), *range(0x01F1, 0x01F4), *range(0x0132, 0x0134)]:
+    for point in range(0xA0, sys.maxunicode + 1):
         c = chr(point)
+        if not unicodedata.decomposition(c).startswith(_SAME_LOOK):
+            continue
         form = unicodedata.normalize("NFKC", c)
-        if form == c or point == 0xFB05:  # a long s does not look like an s
+        # forms with a space show a mark alone; a long s does not look like an s
+        if form == c or " " in form or point in (0x17F, 0xFB05):
             continue
         if len(form) == 1:
             one.append(c)
@@ -45,6 +54,14 @@ def width_forms() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(one), "".join(by), longer
 
 
+def _class(characters: str) -> str:
+    """A regular expression for any of the characters, as ranges."""
+    points = sorted(map(ord, characters))
+    starts = [p for i, p in enumerate(points) if not i or points[i - 1] != p - 1]
+    ends = [p for i, p in enumerate(points) if i + 1 == len(points) or points[i + 1] != p + 1]
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
 def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -54,9 +71,15 @@ def normal_form_sql(column: str) -> str:
     one, by, longer = width_forms()
     x = f"regexp_replace({column}, {_quoted(INVISIBLE)}, '', 'g')"
     x = f"regexp_replace({x}, {_quoted(SPACES)}, ' ', 'g')"
-    x = f"translate({x}, {_quoted(one + CYRILLIC + GREEK + ARMENIAN)}, {_quoted(by + CYRILLIC_AS + GREEK_AS + ARMENIAN_AS)})"
-    for a, b in longer:
-        x = f"replace({x}, {_quoted(a)}, {_quoted(b)})"
+    # the long tables are for the few texts with such a character
+    longer_map = f"MAP {{{', '.join(f'{_quoted(a)}: {_quoted(b)}' for a, b in longer)}}}"
+    widths = [(a, b) for a, b in zip(one, by, strict=True) if "\uff00" <= a <= "\uffff"]
+    faces = [(a, b) for a, b in zip(one, by, strict=True) if not "\uff00" <= a <= "\uffff"]
+    table = lambda pairs, k: _quoted("".join(p[k] for p in pairs))
+    long = f"translate({x}, {table(faces, 0)}, {table(faces, 1)})"
+    long = f"array_to_string(list_transform(string_split({long}, ''), lambda c: coalesce({longer_map}[c], c)), '')"
+    x = f"CASE WHEN regexp_matches({column}, {_quoted(_class(''.join(a for a, _ in faces + longer)))}) THEN {long} ELSE {x} END"
+    x = f"translate({x}, {_quoted(''.join(a for a, _ in widths) + CYRILLIC + GREEK + ARMENIAN)}, {_quoted(''.join(b for _, b in widths) + CYRILLIC_AS + GREEK_AS + ARMENIAN_AS)})"
     x = f"translate(nfc_normalize({x}), {_quoted(COMPOSED)}, {_quoted(COMPOSED_AS)})"
     # plain text needs no more than its spaces
     plain = f"translate({column}, {_quoted(chr(9) + chr(10) + chr(11) + chr(12) + chr(13))}, '     ')"
@@ -81,7 +104,7 @@ def normalize_text(df: DataFrame, column: str, output: str, memory: str = "256MB
         with duckdb.connect(config={"threads": 1, "memory_limit": memory, "preserve_insertion_order": True}) as db:
             for b in batches:
                 db.register("batch", pa.table({"x": b.column(position).cast(pa.large_string())}))
-                y = db.execute(sql).to_arrow_table().column("y")
+                y = db.sql(sql).to_arrow_table().column("y")
                 db.unregister("batch")
                 y = pa.concat_arrays(y.chunks) if y.num_chunks else pa.array([], pa.string())
                 yield pa.RecordBatch.from_arrays([*b.columns, y.cast(pa.string())], names=[*b.schema.names, output])
@@ -94,6 +117,17 @@ def lookalike_forms(values: DataFrame, group: list[str], key: str, value: str) -
     return normalize_text(values.where(F.col(key).isNotNull()).groupBy(*group, key).agg(F.min(value).alias("__value")), "__value", "form").drop("__value")
 
 
+def lookalike_groups(values: DataFrame, group: list[str], key: str, value: str) -> DataFrame:
+    """(group..., key, group_key, copies): the smallest key of those whose values look the same, and how many keys these are.
+
+    The form for scale: one row a key, however many look the same. Null and empty forms are left out.
+    """
+    scratch = Scratch(values.sparkSession, "lookalike")
+    forms = scratch.save(lookalike_forms(values, group, key, value).where("form <> ''"))
+    heads = forms.groupBy(*group, "form").agg(F.min(key).alias("group_key"), F.count(F.lit(1)).alias("copies"))
+    return lookup_join(forms, heads, [*group, "form"], key).select(*group, key, "group_key", "copies")
+
+
 def lookalike_pairs(values: DataFrame, group: list[str], key: str, value: str) -> DataFrame:
     """(group..., key1, key2), key1 < key2, for keys whose values look the same.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinfold.llm.components import match_groups
 from kinfold.llm.formatting import formatting_groups
-from kinfold.llm.lookalike import lookalike_forms, lookalike_pairs
+from kinfold.llm.lookalike import lookalike_forms, lookalike_groups, lookalike_pairs
 from kinfold.llm.mixing import mix
 from kinfold.llm.names import name_entities, name_pairs
 from kinfold.llm.neighbours import top_k
@@ -70,6 +70,11 @@ def p5_forms(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_forms(_looks(spark, d), ["field_type"], "hash", "value")
 
 
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Each hash with the smallest hash of those that look the same."""
+    return lookalike_groups(_looks(spark, d), ["field_type"], "hash", "value").where("copies > 1").select("field_type", "hash", F.col("group_key").alias("group_hash"), "copies")
+
+
 def _terms(spark: SparkSession, d: str) -> DataFrame:
     fields = F.col("field_type").isin("roles", "provision", "subjects")
     strings = table(spark, d, "unique_strings_by_field").where(fields)
@@ -122,5 +127,5 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_group_sizes, p2_found, p2_statements, p3_found, p3_entities, p5_found, p5_forms, p6_found, p6_terms, p7_found, p7_nearest, p8_packed, p8_report, p9_mixed, p9_shares, p10_pieces)
+    for f in (p1_found, p1_group_sizes, p2_found, p2_statements, p3_found, p3_entities, p5_found, p5_forms, p5_groups, p6_found, p6_terms, p7_found, p7_nearest, p8_packed, p8_report, p9_mixed, p9_shares, p10_pieces)
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from kinfold.llm.lookalike import normal_form_sql
-
 _ID = r"nullif(regexp_replace({0}, '^[\s\p{{Z}}\x{{FEFF}}]+|[\s\p{{Z}}\x{{FEFF}}]+$', '', 'g'), '')"
 
 _GROUPS = f"""
@@ -29,10 +27,26 @@ grouped AS (SELECT *, min(hash) OVER w AS group_hash, count(*) OVER w AS copies
             WINDOW w AS (PARTITION BY field_type, form))
 """
 
+# Letters of other scripts and what they look like, two by two; written apart from the operator's tables.
+_LIKE = (
+    "аa еe оo рp сc хx уy ѕs іi јj һh ԁd ԛq ԝw АA ВB ЕE ЅS ІI ЈJ КK МM НH ОO РP СC ТT ХX УY ҮY ԌG ԚQ ԜW үy ѵv ӏl ӀI "
+    "αa ιi νv οo ρp υu ϲc ϳj ΑA ΒB ΕE ΖZ ΗH ΙI ΚK ΜM ΝN ΟO ΡP ΤT ΥY ΧX ՕO ՍU օo ոn սu հh ցg "
+    "ёë їï ЁË ЇÏ ѐè ЀÈ ӑă ӐĂ ӓä ӒÄ ӗĕ ӖĔ ӧö ӦÖ ӯȳ ӮȲ άá ίí όó ϊï ύú ϋü ΆÁ ΈÉ ΊÍ ΌÓ ΎÝ ΪÏ ΫŸ"
+).split()
+_FROM = "".join(p[0] for p in _LIKE) + "".join(chr(0xFEE0 + c) for c in range(0x21, 0x7F))
+_TO = "".join(p[1] for p in _LIKE) + "".join(chr(c) for c in range(0x21, 0x7F))
+_HIDDEN = "".join(map(chr, [0xAD, 0x34F, 0x61C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF, *range(0xFE00, 0xFE10)]))
+_GAPS = "".join(map(chr, [9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+_quote = lambda s: "'" + s.replace("'", "''") + "'"
+_FORM = f"translate(value, {_quote(_GAPS + _HIDDEN)}, {_quote(' ' * len(_GAPS))})"
+_FORM = f"nfc_normalize(translate(nfc_normalize(translate({_FORM}, {_quote(_FROM)}, {_quote(_TO)})), {_quote(_FROM)}, {_quote(_TO)}))"
+for _long, _short in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("…", "...")):
+    _FORM = f"replace({_FORM}, '{_long}', '{_short}')"
+
 _FORMS = f"""
 WITH single AS (SELECT field_type, hash, min(value) AS value FROM unique_strings_by_field
                 WHERE field_type IN ('person', 'title') AND hash IS NOT NULL GROUP BY ALL),
-forms AS (SELECT field_type, hash, {normal_form_sql("value")} AS form FROM single)
+forms AS (SELECT field_type, hash, {_FORM} AS form FROM single)
 """
 
 _TERMS = r"""
@@ -67,6 +81,7 @@ SQL: dict[str, str] = {
     "p2_statements": _STATEMENTS + "SELECT field_type, hash, copies FROM grouped WHERE hash = group_hash",
     "p5_found": _FORMS + "SELECT a.field_type, a.hash AS hash1, b.hash AS hash2 FROM forms a JOIN forms b ON a.field_type = b.field_type AND a.form = b.form AND a.hash < b.hash WHERE a.form <> ''",
     "p5_forms": _FORMS + "SELECT field_type, hash, form FROM forms",
+    "p5_groups": _FORMS + "SELECT * FROM (SELECT field_type, hash, min(hash) OVER w AS group_hash, count(*) OVER w AS copies FROM forms WHERE form <> '' WINDOW w AS (PARTITION BY field_type, form)) WHERE copies > 1",
     "p6_found": _TERMS + "SELECT field_type, term, band FROM banded WHERE band <> 'usable'",
     "p6_terms": _TERMS + "SELECT field_type, term, occurrences, records, band FROM banded",
     "p7_found": _NEAR + "SELECT DISTINCT field, least(hash, neighbour) AS hash1, greatest(hash, neighbour) AS hash2 FROM ranked WHERE place <= 5 AND cosine >= 0.9",

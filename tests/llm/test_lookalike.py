@@ -1,6 +1,6 @@
 import unicodedata
 
-from kinfold.llm.lookalike import lookalike_pairs, normalize_text, width_forms
+from kinfold.llm.lookalike import lookalike_groups, lookalike_pairs, normalize_text, width_forms
 
 
 def forms(spark, texts):
@@ -33,3 +33,17 @@ def test_pairs(spark):
 
 def test_long(spark):
     assert forms(spark, ["ｘ" * 200_000])[0] == "x" * 200_000
+
+
+def test_faces_and_ligatures(spark):
+    cases = {"𝔸𝕭𝐜": "ABc", "ℌℓ": "Hl", "㎏ 5": "kg 5", "Ǆ": "DŽ", "Ⅳ": "IV", "﹐": ",", "ﺑ": "ب", "ｶﾞ": "ガ", "½": "½", "①": "①", "x²": "x²", "ﷺ": "ﷺ"}
+    assert forms(spark, [*cases]) == [*cases.values()]
+    assert all(f == g for f, g in zip(forms(spark, [*cases.values()]), cases.values(), strict=True))
+
+
+def test_groups(spark):
+    rows = [("t", "1", "аbc"), ("t", "2", "abc"), ("t", "3", "ａｂｃ"), ("t", "3", "ａｂｃ"), ("t", "4", "Abc"), ("u", "5", "abc"), ("t", "6", None), ("t", "7", ""), ("t", None, "abc")]
+    df = spark.createDataFrame(rows, "f string, h string, v string").selectExpr("*", "'x' AS form", "1 AS copies")
+    got = {(r.f, r.h): (r.group_key, r.copies) for r in lookalike_groups(df, ["f"], "h", "v").collect()}
+    assert got == {("t", "1"): ("1", 3), ("t", "2"): ("1", 3), ("t", "3"): ("1", 3), ("t", "4"): ("4", 1), ("u", "5"): ("5", 1)}
+    assert lookalike_groups(df.limit(0), ["f"], "h", "v").count() == 0
