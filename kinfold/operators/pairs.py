@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kinfold.functions.text import capped_ratio, harmonic, levenshtein_similarity, pair_id, similar_enough, token_sort_similarity, truthy
 from kinfold.functions.years import birth_death, has_years
 
-#: Names of the features, in their fixed order.
+# Names of the features, in their order; fixed values.
 FEATURES = (
     "person_cosine", "title_cosine", "provision_cosine", "subjects_cosine", "composite_cosine", "person_levenshtein", "person_jaro_winkler",
     "person_title_harmonic", "person_provision_harmonic", "person_subjects_harmonic", "title_subjects_harmonic", "title_provision_harmonic", "provision_subjects_harmonic",
@@ -26,6 +26,11 @@ def ground_truth(labels: DataFrame, left: str, right: str, match: str, order: li
     return rows.groupBy("left_id", "right_id").agg(F.max_by("match", F.struct(*(order or []), "match")).alias("match"))
 
 
+def with_years(records: DataFrame, person: str = "person") -> DataFrame:
+    """Adds `years` (birth, death) of each record's person, so that a pair need not search names again."""
+    return records.withColumn("years", birth_death(F.col(person)))
+
+
 def with_records(pairs: DataFrame, records: DataFrame, record: str) -> DataFrame:
     """Both records' columns as left_* and right_*; pairs of which a record is unknown are left out."""
     side = lambda s: records.select(F.col(record).alias(f"{s}_id"), *[F.col(c).alias(f"{s}_{c}") for c in records.columns if c != record])
@@ -38,9 +43,9 @@ def label_of(pairs: DataFrame, truth: DataFrame, one: str, two: str) -> DataFram
     return keyed.join(truth, ["left_id", "right_id"], "left").drop("left_id", "right_id")
 
 
-def prefilter(least_person: float = 0.3) -> Column:
-    """true, false or null (undecided) for a row of `with_records`: the same dated person; equal composites; persons too unlike. Null texts decide nothing."""
-    same_person = (F.col("left_person") == F.col("right_person")) & has_years(birth_death(F.col("left_person")))
+def prefilter(least_person: float = 0.3, years: bool = False) -> Column:
+    """With years=True the records bring their years (`with_years`). true, false or null (undecided) for a row of `with_records`: the same dated person; equal composites; persons too unlike. Null texts decide nothing."""
+    same_person = (F.col("left_person") == F.col("right_person")) & has_years(F.col("left_years") if years else birth_death(F.col("left_person")))
     unlike = F.col("left_person").isNotNull() & F.col("right_person").isNotNull() & ~similar_enough(F.col("left_person"), F.col("right_person"), least_person)
     return F.when(same_person, True).when(F.col("left_composite") == F.col("right_composite"), True).when(unlike, False)
 
@@ -64,10 +69,12 @@ def similarities(pairs: DataFrame, token_sort: bool = True) -> DataFrame:
 
 
 def pair_features(pairs: DataFrame, token_sort: bool = True) -> DataFrame:
-    """The 18 features of each pair. A missing side makes a similarity, and all that uses it, 0."""
+    """The 18 features of each pair; records may bring their years (`with_years`). A missing side makes a similarity, and all that uses it, 0."""
     df = similarities(pairs, token_sort)
     jaro = token_sort_similarity(F.col("left_person"), F.col("right_person")) if token_sort else F.col("person_sim")
-    df = df.withColumn("__jaro", jaro).withColumn("__left", birth_death(F.col("left_person"))).withColumn("__right", birth_death(F.col("right_person")))
+    df = df.withColumn("__jaro", jaro)
+    for s in ("left", "right"):
+        df = df.withColumn(f"__{s}", F.col(f"{s}_years") if f"{s}_years" in pairs.columns else birth_death(F.col(f"{s}_person")))
     sim = lambda f: F.coalesce(F.col(f"{f}_sim"), F.lit(0.0))
     both = lambda f, g: F.col(f"{f}_sim").isNotNull() & F.col(f"{g}_sim").isNotNull()
     year = lambda y: F.coalesce((F.col(f"__left.{y}") == F.col(f"__right.{y}")).cast("double"), F.lit(0.0))

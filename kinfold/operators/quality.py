@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Upper bounds of sizes and their names; fixed values.
 BUCKETS = ((1, "1"), (5, "2-5"), (10, "6-10"), (20, "11-20"), (50, "21-50"))
 
 
@@ -16,9 +17,14 @@ def long_form(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature, count, mean, std, min, q25, q50, q75, max), exact quantiles, sample deviation; one pass over all columns."""
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = long_form(df, columns).groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), q.alias("q"), F.max("value").alias("max"))
+    """(feature, count, mean, std, min, q25, q50, q75, max), exact quantiles, sample deviation; one pass over all columns.
+
+    Quantiles are taken of the distinct values with their counts, so equal values, as of features that are mostly 0 or 1, cost one row.
+    """
+    rows = long_form(df, columns)
+    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
+    quantiles = rows.where("value IS NOT NULL").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")).groupBy("feature").agg(q.alias("q"))
+    out = rows.groupBy("feature").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")).join(quantiles, "feature", "left")
     return out.select("feature", "count", "mean", "std", "min", F.col("q")[0].alias("q25"), F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 

@@ -11,6 +11,7 @@ from kinfold.functions.text import ascii_form, capped_ratio, normalize_text, tri
 from kinfold.operators import classify, graph, ingest, knn, pairs, quality
 from kinfold.plans import ingest_queries as base
 from kinfold.plans.tables import table
+from kinfold.scratch import Scratch
 from kinfold.sources.embedder import embed_strings
 
 #: Weights of the scoring query, by hand; the training query fits its own.
@@ -90,7 +91,8 @@ def vector_components(spark: SparkSession, d: str) -> DataFrame:
 
 def _record_texts(spark: SparkSession, d: str, plain: bool) -> DataFrame:
     form = (lambda f: ascii_form(normalize_text(F.col(f)))) if plain else (lambda f: normalize_text(F.col(f)))
-    return base.records(spark, d).select("record_id", *[form(f).alias(f) for f in ("person", "title", "provision", "subjects", "composite")])
+    texts = base.records(spark, d).select("record_id", *[form(f).alias(f) for f in ("person", "title", "provision", "subjects", "composite")])
+    return Scratch(spark, "records").save(pairs.with_years(texts))
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
@@ -107,11 +109,12 @@ def ground_truth(spark: SparkSession, d: str) -> DataFrame:
 
 
 def prefilter_decisions(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).select("left_id", "right_id", "label", pairs.prefilter().alias("decision"))
+    return _pairs(spark, d).select("left_id", "right_id", "label", pairs.prefilter(years=True).alias("decision"))
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    return pairs.pair_features(_pairs(spark, d), token_sort=False)
+    """Saved once for each query: what is made of them reads them several times."""
+    return Scratch(spark, "features").save(pairs.pair_features(_pairs(spark, d), token_sort=False))
 
 
 def pair_features_sql(spark: SparkSession, d: str) -> DataFrame:
@@ -180,8 +183,8 @@ def logistic_train(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rfe_select(spark: SparkSession, d: str) -> DataFrame:
-    df = _features(spark, d).select("label", *pairs.FEATURES).persist()  # fitted again for each step
-    return spark.createDataFrame(classify.select_features(df, pairs.FEATURES, "label", step=4), "feature string, rank int")
+    df = _features(spark, d).select("label", *pairs.FEATURES)
+    return spark.createDataFrame(classify.select_features(df, pairs.FEATURES, "label", step=1), "feature string, rank int")
 
 
 def importance_share(spark: SparkSession, d: str) -> DataFrame:

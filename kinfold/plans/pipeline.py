@@ -166,8 +166,8 @@ class Pipeline:
     def _features(self) -> dict[str, DataFrame]:
         truth = pairs.ground_truth(self.labels, "left_id", "right_id", "is_match").withColumn("label", F.col("match").cast("int")).drop("match")
         found = self.registry.load("candidates").where("record1_id <> record2_id").select(F.least("record1_id", "record2_id").alias("left_id"), F.greatest("record1_id", "record2_id").alias("right_id")).distinct()
-        both = pairs.with_records(found.join(truth, ["left_id", "right_id"], "full"), self.registry.load("records").select("record_id", "person", "title", "provision", "subjects", "composite"), "record_id")
-        decided = both.withColumn("decision", pairs.prefilter(self.config.least_person))
+        both = pairs.with_records(found.join(truth, ["left_id", "right_id"], "full"), pairs.with_years(self.registry.load("records").select("record_id", "person", "title", "provision", "subjects", "composite")), "record_id")
+        decided = both.withColumn("decision", pairs.prefilter(self.config.least_person, years=True))
         return {"pair_features": pairs.pair_features(decided.where("decision IS NULL").drop("decision")), "prefiltered": decided.where("decision IS NOT NULL").select("left_id", "right_id", "label", "decision")}
 
     def _classify(self) -> dict[str, DataFrame]:

@@ -32,13 +32,13 @@ class Registry:
         return last.where("NOT deleted").drop("deleted")
 
     def save(self, name: str, df: DataFrame, stage: str = "") -> DataFrame:
-        """Writes the dataset; `content` is an order-free hash of all its rows."""
+        """Writes the dataset; `content` is an order-free hash of all its rows, by their exclusive or and their sum, so that rows in pairs count too."""
         now = datetime.now(UTC)
         path = f"{self.folder}/{name}/v{now.strftime('%Y%m%d%H%M%S%f')}"
         df.write.parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         plain = [F.to_json(c) if saved.schema[c].dataType.typeName() == "map" else F.col(c) for c in saved.columns]
-        s = saved.agg(F.count(F.lit(1)).alias("rows"), F.hex(F.coalesce(F.bit_xor(F.xxhash64(*plain)), F.lit(0))).alias("content")).first()
+        s = saved.agg(F.count(F.lit(1)).alias("rows"), F.concat_ws("-", F.hex(F.coalesce(F.bit_xor(F.xxhash64(*plain)), F.lit(0))), F.coalesce(F.sum(F.xxhash64(*plain).cast("decimal(38,0)")), F.lit(0)).cast("string")).alias("content")).first()
         self._append(name=name, path=path, stage=stage, rows=s["rows"], content=s["content"], written=now.replace(tzinfo=None), deleted=False)
         return saved
 

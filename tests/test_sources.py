@@ -88,3 +88,31 @@ def test_config(tmp_path):
     (tmp_path / "c.json").write_text('{"neighbours": 7}')
     c = Config.load(str(tmp_path / "c.json")).override_text({"threshold": "0.5", "transitivity": "no"})
     assert (c.neighbours, c.threshold, c.transitivity) == (7, 0.5, False)
+
+
+def test_columns_by_name_in_each_file(spark, tmp_path):
+    a = "personId,composite,person,roles,title,provision,subjects\n1#a,c1,p1,r1,t1,v1,s1\n"
+    b = 'person,composite,extra,personId,title,roles,subjects\np2,"c2, with\na break",x,2#a,t2,r2,s2\np3,c3,x,3#a,t3\n'
+    (tmp_path / "a.csv").write_text(a)
+    (tmp_path / "b.csv").write_text(b)
+    got = {r.personId: (r.composite, r.person, r.roles, r.title, r.provision, r.subjects) for r in read_catalog(spark, str(tmp_path)).collect()}
+    assert got == {"1#a": ("c1", "p1", "r1", "t1", "v1", "s1"), "2#a": ("c2, with\na break", "p2", "r2", "t2", None, "s2")}
+    bad = malformed_rows(spark, str(tmp_path)).collect()
+    assert [(r.file.rsplit("/", 1)[1], r.row.strip()) for r in bad] == [("b.csv", "p3,c3,x,3#a,t3")]
+    done = spark.createDataFrame([(next(iter(r.file for r in bad)),)], "file string")
+    assert [r.personId for r in read_catalog(spark, str(tmp_path), done).collect()] == ["1#a"]
+    (tmp_path / "c.csv").write_text("personId,person\n4#a,p4\n")
+    with pytest.raises(ValueError):
+        read_catalog(spark, str(tmp_path)).collect()
+
+
+def test_strict_labels(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("left,right,match\na,b,True\na,c,1\na,d,yes\na,e,\n")
+    assert [r.is_match for r in read_labels(spark, str(tmp_path / "l.csv"), "strict").orderBy("right_id").collect()] == ["true", "false", "false", "false"]
+
+
+def test_content_hash_counts_rows(spark, tmp_path):
+    r = Registry(spark, str(tmp_path))
+    r.save("one", spark.createDataFrame([("a",), ("b",), ("b",)], "x string"))
+    r.save("two", spark.createDataFrame([("a",), ("c",), ("c",)], "x string"))
+    assert r.metadata("one")["content"] != r.metadata("two")["content"]
