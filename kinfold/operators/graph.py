@@ -137,10 +137,11 @@ def graph_statistics(edges: DataFrame) -> DataFrame:
     return stats.crossJoin(F.broadcast(groups)).select("nodes", "edges", "components", F.coalesce(F.try_divide(2 * m, n * (n - 1)), F.lit(0.0)).alias("density"), F.coalesce(F.try_divide(2 * m, n), F.lit(0.0)).alias("average_degree"), F.coalesce("average_clustering", F.lit(0.0)).alias("average_clustering"))
 
 
-def label_propagation(edges: DataFrame, rounds: int = 20) -> DataFrame:
-    """(id, label): each round a node takes the most frequent label of its neighbours, the smallest of equals, until nothing changes or after `rounds`.
+def label_propagation(edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """(id, label): each round a node takes the most frequent label of its neighbours, the smallest of equals, until nothing changes.
 
-    Nodes take turns by a hash of the id and the round, half of them each time, so that two-coloured graphs settle.
+    Nodes take turns by a hash of the id and the round, half of them each time, so that two-coloured graphs settle. Labels
+    that have not settled after `rounds` are an error, not a result.
     """
     scratch = Scratch(edges.sparkSession, "label-propagation")
     near = scratch.save(symmetric(edges).select("node", "other"))
@@ -157,9 +158,9 @@ def label_propagation(edges: DataFrame, rounds: int = 20) -> DataFrame:
         scratch.drop(labels)
         labels = moved
         if not changed and quiet:
-            break
+            return labels.select("id", "label")
         quiet = not changed
-    return labels.select("id", "label")
+    raise RuntimeError(f"labels have not settled after {rounds} rounds")
 
 
 def _by_component(edges: DataFrame) -> DataFrame:
@@ -167,83 +168,67 @@ def _by_component(edges: DataFrame) -> DataFrame:
     return edges.join(groups.withColumnRenamed("id", "src"), "src")
 
 
-def louvain(edges: DataFrame, most_edges: int = 200_000) -> DataFrame:
-    """(id, community): modularity communities within each component, deterministic (nodes in order, the smallest community of equals).
+def louvain(edges: DataFrame, least_gain: float = 1e-9) -> DataFrame:
+    """(id, community): modularity communities within each component; the community is named by its smallest id.
 
-    A component is one task; one with more than `most_edges` edges is not collected but comes out by label propagation.
+    Local moves are joins: every node sees the weight of its edges into each neighbouring community and takes the one with the highest
+    gain in modularity of its component, the smallest of equals. Nodes take turns by a hash, half of them each time; moves go on
+    while they raise the modularity. Then communities become nodes, until none moves. All components get the same
+    treatment whatever their size; none is collected.
     """
-    import pandas as pd
-
-    def moves(part: pd.DataFrame) -> pd.DataFrame:
-        labels = _louvain(list(zip(part.src, part.dst, part.weight, strict=True)))
-        return pd.DataFrame({"id": list(labels), "community": list(labels.values())})
-
-    return _small_or_propagated(edges, most_edges, moves, "community")
-
-
-def _small_or_propagated(edges: DataFrame, most_edges: int, run, name: str) -> DataFrame:
-    scratch = Scratch(edges.sparkSession, name)
+    scratch = Scratch(edges.sparkSession, "louvain")
     placed = scratch.save(_by_component(edges))
-    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    large = scratch.save(sizes.where(F.col("n") > most_edges).select("component"))
-    small = placed.join(large, "component", "left_anti")
-    out = small.groupBy("component").applyInPandas(run, f"id string, {name} string")
-    if large.limit(1).count():
-        out = out.unionByName(label_propagation(placed.join(large, "component", "left_semi").select("src", "dst", "weight")).toDF("id", name))
-    return out
-
-
-def _louvain(edges: list[tuple[str, str, float]]) -> dict[str, str]:
-    names = sorted({x for a, b, _ in edges for x in (a, b)})
-    index = {x: k for k, x in enumerate(names)}
-    graph: list[dict[int, float]] = [{} for _ in names]
-    for a, b, w in edges:
-        i, j = index[a], index[b]
-        graph[i][j] = graph[i].get(j, 0.0) + w
-        graph[j][i] = graph[j].get(i, 0.0) + w
-    member = list(range(len(names)))
-    loops = [0.0] * len(names)
-    total = sum(w for _, _, w in edges) or 1.0
+    # twice the weight of each component, for every node of it
+    totals = placed.groupBy("component").agg((2 * F.sum("weight")).alias("total"))
+    ends = placed.select("component", F.explode(F.array("src", "dst")).alias("id")).distinct()
+    members = scratch.save(ends.join(totals, "component").select("id", F.col("id").alias("node"), "total"))
+    links = scratch.save(placed.select(F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")), F.struct(F.col("dst").alias("a"), F.col("src").alias("b")))).alias("e"), "weight").select("e.*", "weight"))
     while True:
-        n = len(graph)
-        strength = [sum(near.values()) + 2 * loops[i] for i, near in enumerate(graph)]
-        community, weight = list(range(n)), strength[:]
-        improved, again = False, True
-        while again:
-            again = False
-            for i in range(n):
-                links: dict[int, float] = {}
-                for j, w in graph[i].items():
-                    links[community[j]] = links.get(community[j], 0.0) + w
-                own = community[i]
-                weight[own] -= strength[i]
-                gain = lambda c: links.get(c, 0.0) - strength[i] * weight[c] / (2 * total)  # noqa: B023, E731
-                best = min(links, key=lambda c: (-gain(c), c), default=own)  # noqa: B023
-                if gain(best) <= gain(own) + 1e-12:
-                    best = own
-                weight[best] += strength[i]
-                if best != own:
-                    community[i], again, improved = best, True, True
-        if not improved:
+        nodes = members.groupBy("node").agg(F.first("total").alias("total"))
+        strength = links.groupBy(F.col("a").alias("node")).agg(F.sum("weight").alias("strength"))
+        start = scratch.save(nodes.join(strength, "node").select("node", "strength", "total", F.col("node").alias("community")))
+        moved = _moved(start, links, least_gain, scratch)
+        if moved is None:
             break
-        order = {c: k for k, c in enumerate(sorted(set(community)))}
-        member = [order[community[m]] for m in member]
-        merged: list[dict[int, float]] = [{} for _ in order]
-        inner = [0.0] * len(order)
-        for i, near in enumerate(graph):
-            a = order[community[i]]
-            inner[a] += loops[i]
-            for j, w in near.items():
-                b = order[community[j]]
-                if a == b:
-                    inner[a] += w / 2
-                else:
-                    merged[a][b] = merged[a].get(b, 0.0) + w
-        graph, loops = merged, inner
-    first: dict[int, str] = {}
-    for x, m in zip(names, member, strict=True):
-        first.setdefault(m, x)
-    return {x: first[m] for x, m in zip(names, member, strict=True)}
+        names = scratch.save(members.join(moved.select("node", "community"), "node").select("id", F.col("community").alias("node"), "total"))
+        of = moved.select("node", "community")
+        merged = links.join(of.toDF("a", "ca"), "a").join(of.toDF("b", "cb"), "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("weight").alias("weight"))
+        members, links = names, scratch.save(merged)
+    least = members.groupBy("node").agg(F.min("id").alias("community"))
+    return members.join(least, "node").select("id", "community")
+
+
+def _moved(state: DataFrame, links: DataFrame, least_gain: float, scratch: Scratch) -> DataFrame | None:
+    """The nodes' communities after local moves, None if no move raises the modularity."""
+    best, before, quiet, turn = None, _modularity(state, links), 0, 0
+    while quiet < 2:
+        weights = state.groupBy("community").agg(F.sum("strength").alias("all"))
+        near = links.where("a <> b").join(state.select(F.col("node").alias("b"), "community"), "b").groupBy(F.col("a").alias("node"), "community").agg(F.sum("weight").alias("to"))
+        offers = near.unionByName(state.select("node", "community", F.lit(0.0).alias("to"))).groupBy("node", "community").agg(F.sum("to").alias("to"))
+        mine = state.select("node", "strength", "total", F.col("community").alias("own"))
+        offers = offers.join(mine, "node").join(weights, "community")
+        gain = F.round(F.col("to") - F.col("strength") * (F.col("all") - F.when(F.col("community") == F.col("own"), F.col("strength")).otherwise(0.0)) / F.col("total"), 12)
+        offers = offers.withColumn("gain", gain)
+        top = offers.groupBy("node").agg(F.max("gain").alias("top"), F.max(F.when(F.col("community") == F.col("own"), F.col("gain"))).alias("stay"))
+        chosen = offers.join(top, "node").where("gain = top").groupBy("node").agg(F.min("community").alias("wanted"), F.first("top").alias("top"), F.first("stay").alias("stay"))
+        goes = (F.col("top") > F.col("stay") + least_gain) & (F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(2)) == 0)
+        following = state.join(chosen, "node").select("node", "strength", "total", F.when(goes, F.col("wanted")).otherwise(F.col("community")).alias("community"))
+        following = scratch.save(following)
+        after = _modularity(following, links)
+        if after > before + least_gain:
+            best, before, quiet = following, after, 0
+        else:
+            quiet += 1
+        state, turn = following, turn + 1
+    return best
+
+
+def _modularity(state: DataFrame, links: DataFrame) -> float:
+    """The sum of the components' modularities."""
+    of = state.select("node", "community", "total")
+    inner = links.join(of.toDF("a", "ca", "total"), "a").join(of.select(F.col("node").alias("b"), F.col("community").alias("cb")), "b").where("ca = cb").agg(F.sum(F.col("weight") / F.col("total")).alias("x"))
+    spread = state.groupBy("community").agg((F.sum("strength") / F.first("total")).alias("share")).agg((-F.sum(F.col("share") * F.col("share"))).alias("x"))
+    return inner.unionByName(spread).agg(F.sum("x")).first()[0] or 0.0
 
 
 def hierarchical(edges: DataFrame, connectivity: float = 0.5, most_nodes: int = 1000) -> DataFrame:

@@ -55,9 +55,18 @@ def test_communities(spark, run):
     assert {frozenset(k for k in got if got[k] == c) for c in set(got.values())} == {frozenset(f"{s}{i}" for i in range(5)) for s in "pq"}
 
 
-def test_communities_of_large_components(spark):
-    got = mapping(graph.louvain(two_cliques(spark), most_edges=5))
-    assert len(got) == 10 and set(got.values()) <= set(got)
+def test_louvain_on_a_ring_of_cliques(spark):
+    """Every clique of a ring of cliques stays whole, and a component of its own is treated alike."""
+    rows = [(f"{c:02}-{i}", f"{c:02}-{j}", 1.0) for c in range(12) for i in range(6) for j in range(i + 1, 6)] + [(f"{c:02}-0", f"{(c + 1) % 12:02}-1", 1.0) for c in range(12)] + [("x", "y", 0.5)]
+    got = mapping(graph.louvain(spark.createDataFrame(rows, "src string, dst string, weight double")))
+    assert len(got) == 74 and got["x"] == got["y"] == "x"
+    assert all(len({got[f"{c:02}-{i}"] for i in range(6)}) == 1 for c in range(12)) and len(set(got.values())) >= 7
+    assert all(c == min(k for k in got if got[k] == c) for c in set(got.values()))
+
+
+def test_label_propagation_unsettled(spark):
+    with pytest.raises(RuntimeError):
+        graph.label_propagation(two_cliques(spark), rounds=0)
 
 
 def test_conflicts(spark, edges):
