@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from kinfold.operators.skew import ranked
 
+#: Ranges that scores are cut into for running sums.
+BUCKETS = 256
+
 
 def stratified_split(df: DataFrame, key: str, label: str, train_share: float = 0.7) -> DataFrame:
     """Adds `part` (train or test): of each label the given share of rows, by a hash of the key, so the same on each run. Ranks are made over ranges of the hash, so a label may hold nearly all rows."""
@@ -81,17 +84,70 @@ def metrics(counts: DataFrame) -> DataFrame:
     return counts.select("tp", "fp", "tn", "fn", precision.alias("precision"), recall.alias("recall"), share(2 * precision * recall, precision + recall).alias("f1"), share(tp + tn, tp + fp + tn + fn).alias("accuracy"), share(fp, fp + tn).alias("fpr"), share(fn, fn + tp).alias("fnr"))
 
 
-def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
-    """(threshold, tp, fp, positives, negatives) by descending score. Rows are counted by score first; the running sums go over ranges of scores, so no task gets all of them."""
+def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, p, q, bucket): positives and negatives of each score; buckets are ranges of scores with about equally many distinct ones.
+
+    A matcher's scores crowd at 0 and 1, so the bounds are quantiles of the counted scores, not equal widths.
+    """
     by_score = df.groupBy(F.col(score).alias("threshold")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("q"))
-    bucket = F.floor(F.col("threshold") * 1000)
-    per = by_score.groupBy(bucket.alias("bucket")).agg(F.sum("p").alias("bp"), F.sum("q").alias("bq"))
+    bounds = by_score.agg(F.percentile_approx("threshold", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("__bounds"))
+    crossed = by_score.crossJoin(F.broadcast(bounds))  # one row of bounds
+    return crossed.withColumn("bucket", F.size(F.filter(F.coalesce("__bounds", F.array().cast("array<double>")), lambda x: x < F.col("threshold")))).drop("__bounds")
+
+
+def _cumulative(df: DataFrame, label: str, score: str) -> DataFrame:
+    """(threshold, tp, fp, positives, negatives, p, q, bucket) by descending score. Rows are counted by score first; the running sums go over ranges of scores, so no task gets all of them."""
+    by_score = _by_score(df, label, score)
+    per = by_score.groupBy("bucket").agg(F.sum("p").alias("bp"), F.sum("q").alias("bq"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    before = per.select("bucket", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"above_{c}") for c in ("bp", "bq")])  # at most 1001 rows
+    before = per.select("bucket", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"above_{c}") for c in ("bp", "bq")])  # at most BUCKETS rows
     within = Window.partitionBy("bucket").orderBy(F.desc("threshold"))
     total = by_score.agg(F.sum("p").alias("positives"), F.sum("q").alias("negatives"))
-    out = by_score.withColumn("bucket", bucket).join(F.broadcast(before), "bucket").crossJoin(F.broadcast(total))
-    return out.select("threshold", (F.col("above_bp") + F.sum("p").over(within)).alias("tp"), (F.col("above_bq") + F.sum("q").over(within)).alias("fp"), "positives", "negatives")
+    out = by_score.join(F.broadcast(before), "bucket").crossJoin(F.broadcast(total))
+    return out.select("threshold", (F.col("above_bp") + F.sum("p").over(within)).alias("tp"), (F.col("above_bq") + F.sum("q").over(within)).alias("fp"), "positives", "negatives", "p", "q", "bucket")
+
+
+def precision_recall_area(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
+    """One row (points, area, mean_precision): the area under the precision-recall curve by trapezoids, from recall 0 at precision 1 on."""
+    c = _cumulative(df, label, score).select("threshold", "bucket", (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"), F.coalesce(F.try_divide("tp", "positives"), F.lit(0.0)).alias("recall"))
+    # the point before the first of a range is the last of the range above
+    ends = c.groupBy("bucket").agg(F.min_by(F.struct("precision", "recall"), "threshold").alias("end"))
+    above = ends.select("bucket", F.lag("end").over(Window.orderBy(F.desc("bucket"))).alias("above"))  # at most BUCKETS rows
+    within = Window.partitionBy("bucket").orderBy(F.desc("threshold"))
+    c = c.join(F.broadcast(above), "bucket").withColumn("last", F.coalesce(F.lag(F.struct("precision", "recall")).over(within), "above"))
+    height, width = F.col("precision") + F.coalesce("last.precision", F.lit(1.0)), F.col("recall") - F.coalesce("last.recall", F.lit(0.0))
+    return c.agg(F.count(F.lit(1)).alias("points"), F.coalesce(F.sum(width * height / 2), F.lit(0.0)).alias("area"), F.coalesce(F.avg("precision"), F.lit(0.0)).alias("mean_precision"))
+
+
+def against_expected(counts: DataFrame, expected: dict[str, int]) -> DataFrame:
+    """(cell, expected, actual, difference) of a confusion row."""
+    cells = [F.struct(F.lit(c).alias("cell"), F.lit(n).cast("bigint").alias("expected"), F.col(c).alias("actual"), (F.col(c) - n).alias("difference")) for c, n in expected.items()]
+    return counts.select(F.explode(F.array(*cells)).alias("x")).select("x.*")
+
+
+def coefficient_importance(model: DataFrame) -> DataFrame:
+    """(feature, importance, share, largest, smallest, mean, std): absolute coefficients of a model (feature, coefficient) without its intercept."""
+    m = model.where("feature <> 'intercept'").select("feature", F.abs("coefficient").alias("importance"))
+    stats = m.agg(F.sum("importance").alias("total"), F.max("importance").alias("largest"), F.min("importance").alias("smallest"), F.avg("importance").alias("mean"), F.stddev_pop("importance").alias("std"))
+    return m.crossJoin(F.broadcast(stats)).select("feature", "importance", F.coalesce(F.try_divide("importance", "total"), F.lit(0.0)).alias("share"), "largest", "smallest", "mean", "std")
+
+
+def validate(df: DataFrame, features: Sequence[str], label: str) -> None:
+    """Raises ValueError where a matcher cannot be fitted: columns missing, no rows, one class, labels other than 0 and 1, or values that are null, NaN or infinite."""
+    lacking = [c for c in [*features, label] if c not in df.columns]
+    if lacking:
+        raise ValueError(f"columns missing: {lacking}")
+    bad = lambda c: F.col(c).isNull() | F.isnan(F.col(c).cast("double")) | (F.abs(F.col(c).cast("double")) == float("inf"))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(label) == 1).alias("ones"), F.count_if(F.col(label) == 0).alias("zeros"), *[F.count_if(bad(c)).alias(f"bad_{c}") for c in features]).first()
+    if not row["rows"]:
+        raise ValueError("no rows")
+    if row["ones"] + row["zeros"] < row["rows"]:
+        raise ValueError("labels other than 0 and 1")
+    if not row["ones"] or not row["zeros"]:
+        raise ValueError("two classes are needed")
+    unusable = [c for c in features if row[f"bad_{c}"]]
+    if unusable:
+        raise ValueError(f"values that are null, NaN or infinite: {unusable}")
 
 
 def roc_curve(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
@@ -107,11 +163,8 @@ def precision_recall_curve(df: DataFrame, label: str = "label", score: str = "pr
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
     """Share of positive-negative pairs in the right order, equal scores half. One row."""
-    c = df.groupBy(F.col(score).alias("s")).agg(F.sum(label).alias("p"), F.sum(1 - F.col(label)).alias("q"))
-    curve = _cumulative(df, label, score)
-    joined = curve.join(c, curve.threshold == c.s)
     # negatives below a score: all of them less those at or above it
-    got = joined.agg(F.sum(F.col("p") * (F.col("negatives") - F.col("fp") + F.col("q") / 2)).alias("right"), F.max(F.col("positives") * F.col("negatives")).alias("pairs"))
+    got = _cumulative(df, label, score).agg(F.sum(F.col("p") * (F.col("negatives") - F.col("fp") + F.col("q") / 2)).alias("right"), F.max(F.col("positives") * F.col("negatives")).alias("pairs"))
     return got.select(F.coalesce(F.try_divide("right", "pairs"), F.lit(0.0)).alias("auc"))
 
 

@@ -108,3 +108,16 @@ def trace_hash(tables: dict[str, tuple[DataFrame, str]], value: Column) -> DataF
         hits = df.where(F.col(column) == value).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stage).alias("stage"), "rows")
         out = hits if out is None else out.unionByName(hits)
     return out
+
+
+def with_defaults(keys: DataFrame, strings: DataFrame, vectors: DataFrame, on: list[str], placeholder: str, dimensions: int) -> DataFrame:
+    """(on..., value, v) of every key: a missing text is the placeholder, a missing vector zeros, so that no object is lost. `strings` and `vectors` are unique by `on`."""
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), dimensions)
+    return keys.join(strings, on, "left").join(vectors, on, "left").select(*on, F.coalesce("value", F.lit(placeholder)).alias("value"), F.coalesce("v", zeros).alias("v"))
+
+
+def merge_by_key(old: DataFrame, new: DataFrame, on: list[str], newest: list[str]) -> DataFrame:
+    """The rows of `old` with those of `new` put over them: one row a key, the one that comes last by `newest`. Doing it again changes nothing."""
+    rest = [c for c in old.columns if c not in on]
+    last = old.unionByName(new).groupBy(*on).agg(F.max(F.struct(*newest, *[c for c in rest if c not in newest])).alias("__r"))
+    return last.select(*on, *[F.col(f"__r.{c}").alias(c) for c in rest])

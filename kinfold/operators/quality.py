@@ -8,6 +8,8 @@ from itertools import combinations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinfold.operators.skew import lookup_join
+
 # Upper bounds of sizes and their names; fixed values.
 BUCKETS = ((1, "1"), (5, "2-5"), (10, "6-10"), (20, "11-20"), (50, "21-50"))
 
@@ -133,3 +135,45 @@ def principal_components(df: DataFrame, key: str, vector: str, k: int = 2) -> Da
     rows = df.where(F.col(vector).isNotNull()).select(key, array_to_vector(F.col(vector).cast("array<double>")).alias("__x"))
     out = PCA(k=k, inputCol="__x", outputCol="__c").fit(rows).transform(rows).withColumn("__c", vector_to_array("__c"))
     return out.select(key, *[F.col("__c")[i].alias(f"c{i + 1}") for i in range(k)])
+
+
+def large_enough(clusters: DataFrame, cluster: str, least: int, singletons: bool = False) -> DataFrame:
+    """Clusters of at least `least` members; with singletons=True those of one member stay too. Sizes are aggregated, and looked up without putting a large cluster into one task."""
+    if least <= 1:
+        return clusters
+    sizes = clusters.groupBy(cluster).agg(F.count(F.lit(1)).alias("__members"))
+    keep = F.col("__members") >= least
+    kept = sizes.where(keep | (F.col("__members") == 1) if singletons else keep)
+    return lookup_join(clusters, kept, [cluster], next(c for c in clusters.columns if c != cluster), how="inner").drop("__members")
+
+
+def cluster_of(clusters: DataFrame, entity: str, cluster: str, asked: DataFrame) -> DataFrame:
+    """All members of the clusters of the entities asked for (a column named like `entity`)."""
+    wanted = clusters.join(asked.select(entity).distinct(), entity, "left_semi").select(cluster).distinct()
+    return clusters.join(wanted, cluster, "left_semi").select(*clusters.columns)
+
+
+def ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(feature, min, max, mean, std): of each column and of all values together, under the name all; population deviation."""
+    x = long_form(df, columns)
+    stats = [F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")]
+    return x.groupBy("feature").agg(*stats).unionByName(x.agg(F.lit("all").alias("feature"), *stats))
+
+
+def inspect(df: DataFrame) -> DataFrame:
+    """(column, rows, nulls, distinct_values, shortest, longest) of every column, as text."""
+    x = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])).alias("x")).select("x.*")
+    # counted by value first, so a value on a third of the rows is one row
+    by = x.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    return by.groupBy("column").agg(F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0).cast("bigint")).alias("nulls"), F.count("value").alias("distinct_values"), F.min(F.length("value")).alias("shortest"), F.max(F.length("value")).alias("longest"))
+
+
+def in_stage_order(df: DataFrame, stage: str, order: Sequence[str]) -> DataFrame:
+    """Adds `place`: stages in the given order, unknown ones behind them by name. For reports: one row a stage."""
+    at = F.array_position(F.array(*[F.lit(s) for s in order]), F.col(stage))
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.when(at == 0, len(order) + 1).otherwise(at), stage)))
+
+
+def placed(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds `place` by descending value, equals by name. For reports: one row a field."""
+    return df.withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), name)))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinfold.plans import imputation_queries, ingest_queries, matching_queries, report_queries, streaming_queries
+from kinfold.plans import imputation_queries, ingest_queries, matching_queries, report_queries, result_queries, streaming_queries
 
-_MODULES = [ingest_queries, matching_queries, imputation_queries, report_queries, streaming_queries]
+_MODULES = [ingest_queries, matching_queries, imputation_queries, report_queries, result_queries, streaming_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
