@@ -16,6 +16,7 @@ from kinfold.llm.neighbours import top_k
 from kinfold.llm.packing import container_report, pack
 from kinfold.llm.splitting import split_documents
 from kinfold.llm.terms import banded, term_counts
+from kinfold.llm.tokens import VOCABULARY, with_sizes
 from kinfold.operators.knn import exact_top_k
 from kinfold.operators.pairs import ground_truth
 from kinfold.plans.tables import table
@@ -167,15 +168,16 @@ def p8_checked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_checked(spark: SparkSession, d: str) -> DataFrame:
-    """One row a target: whether its share of all tokens is met within a fiftieth, and no document is used too often."""
+    """One row a target: whether its share of all tokens is met within a fiftieth or half the largest document of the sources, and no document is used too often."""
     mixture = Scratch(spark, "checked").save(p9_mixed(spark, d))
     uses = mixture.groupBy("source", "doc_id").agg(F.count(F.lit(1)).alias("uses"), F.sum("n_tokens").alias("tokens")).groupBy("source").agg(F.max("uses").alias("most"), F.sum("tokens").alias("tokens"))
     targets = table(spark, d, "mix_targets").groupBy("source").agg(F.min(F.struct("target_share", "max_repeats")).alias("t")).select("source", "t.*")
     rows = targets.join(uses, "source", "left")
+    largest = with_sizes(table(spark, d, "documents").join(F.broadcast(targets.select("source")), "source"), ["source"], "text", "n_tokens", VOCABULARY).agg(F.max("n_tokens").alias("one"))
     all_ = rows.agg(F.sum("tokens").alias("all"), F.sum(F.when(F.col("tokens").isNotNull(), F.col("target_share"))).alias("shared"))
-    share = F.coalesce(F.col("tokens"), F.lit(0)) / F.col("all")
+    tokens = F.coalesce(F.col("tokens"), F.lit(0))
     due = F.when(F.col("tokens").isNotNull(), F.col("target_share") / F.col("shared")).otherwise(0.0)
-    return rows.crossJoin(F.broadcast(all_)).select("source", (F.abs(share - due) <= 0.02).alias("share_met"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("repeats_kept"))
+    return rows.crossJoin(F.broadcast(all_)).crossJoin(F.broadcast(largest)).select("source", (F.abs(tokens - due * F.col("all")) <= F.greatest(0.02 * F.col("all"), F.col("one") / 2)).alias("share_met"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("repeats_kept"))
 
 
 def p10_checked(spark: SparkSession, d: str) -> DataFrame:
