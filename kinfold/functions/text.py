@@ -161,3 +161,8 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     return F.when(F.size(a) == F.size(b), F.coalesce(F.try_divide(dot(a, b), norm), F.lit(0.0)))
+
+
+def percent(share: Column, digits: int = 2) -> Column:
+    """A share as text, such as 12.50 %; null stays null."""
+    return F.concat(F.format_number(share * 100, digits), F.lit(" %"))

@@ -17,7 +17,7 @@ from kinfold.operators import classify, graph, ingest, knn, pairs, quality
 from kinfold.operators.hotdeck import states_nothing
 from kinfold.operators.skew import lookup_join
 from kinfold.sources.embedder import embed_strings, hashing_embedder
-from kinfold.sources.exports import html_report
+from kinfold.sources.exports import export_csv, html_report
 from kinfold.sources.registry import Registry
 
 
@@ -85,7 +85,7 @@ class Pipeline:
             "features": (self._features, ("pair_features", "prefiltered")),
             "classify": (self._classify, ("model", "scored", "metrics")),
             "cluster": (self._cluster, ("edges", "clusters")),
-            "analyze": (self._analyze, ("feature_statistics", "cluster_statistics")),
+            "analyze": (self._analyze, ("feature_statistics", "feature_ranges", "cluster_statistics", "cluster_sizes", "largest_clusters")),
             "report": (self._report, ("report",)),
         }
 
@@ -93,6 +93,39 @@ class Pipeline:
         there = {r["name"] for r in self.registry.datasets().select("name").collect()}
         return [s for s, (_, out) in self.stages.items() if there.issuperset(out)]
 
+    def load(self, stage: str) -> dict[str, DataFrame]:
+        """The datasets that a completed stage has written."""
+        return {name: self.registry.load(name) for name in self.stages[stage][1]}
+
+    def status(self) -> DataFrame:
+        """(stage, status, rows, seconds, per_second, place): how each stage last ran, in their order; stages that never ran are pending."""
+        known = self.spark.createDataFrame([(s,) for s in self.stages], "stage string")
+        if self.registry.exists("runs"):
+            r = self.registry.load("runs").where("status <> 'skipped'")
+            last = r.groupBy("stage").agg(F.max_by(F.struct("status", "rows", "started", "ended"), "started").alias("l")).select("stage", "l.*")
+            out = known.join(F.broadcast(last), "stage", "left")
+        else:
+            out = known.select("stage", *[F.lit(None).cast(t).alias(c) for c, t in (("status", "string"), ("rows", "bigint"), ("started", "timestamp"), ("ended", "timestamp"))])
+        seconds = (F.unix_micros("ended") - F.unix_micros("started")) / 1e6
+        out = out.select("stage", F.coalesce("status", F.lit("pending")).alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce(seconds, F.lit(0.0)).alias("seconds"), F.coalesce(F.try_divide(F.col("rows"), seconds), F.lit(0.0)).alias("per_second"))
+        return quality.in_stage_order(out, "stage", list(self.stages))
+
+    def summary(self) -> dict[str, Any]:
+        """What a dashboard shows: stages, rows of each dataset, metrics of the classifier, statistics of the clusters."""
+        one = lambda name: self.registry.load(name).first().asDict() if self.registry.exists(name) else None
+        return {
+            "stages": [r.asDict() for r in self.status().collect()],
+            "datasets": {r["name"]: r["rows"] for r in self.registry.datasets().select("name", "rows").collect()},
+            "metrics": one("metrics"),
+            "clusters": one("cluster_statistics"),
+        }
+
+    def check_inputs(self) -> list[str]:
+        """What keeps the inputs from being used; empty if nothing."""
+        lacking = [f"rows lack the column {c}" for c in ("personid", *ingest.FIELDS, "batch_no", "changed_at") if c not in self.rows.columns]
+        lacking += [f"labels lack the column {c}" for c in ("left_id", "right_id", "is_match") if c not in self.labels.columns]
+        return lacking + [f"no {n}" for n, df in (("rows", self.rows), ("labels", self.labels)) if df.limit(1).count() == 0]
+
     def run(self, start: str | None = None, end: str | None = None, again: bool = False, stop_on_error: bool = True) -> DataFrame:
         """(stage, status, started, ended, rows): stages from `start` to `end`; completed ones are skipped unless again=True."""
         names = list(self.stages)
@@ -114,7 +147,8 @@ class Pipeline:
                     status = f"failed: {type(e).__name__}"
             log.append((name, status, began, datetime.now(UTC).replace(tzinfo=None), rows))
         runs = self.spark.createDataFrame(log, "stage string, status string, started timestamp, ended timestamp, rows bigint")
-        return self.registry.save("runs", runs, "run")
+        self.registry.append("runs", runs, "run")
+        return runs
 
     def _preprocess(self) -> dict[str, DataFrame]:
         valid = ingest.valid_records(self.rows, "personid").withColumnRenamed("personid", "record_id")
@@ -176,6 +210,7 @@ class Pipeline:
         split = classify.stratified_split(features.where("label IS NOT NULL"), "pair_id", "label", self.config.train_share)
         features = split.unionByName(features.where("label IS NULL").withColumn("part", F.lit(None).cast("string")))
         scaled = classify.standardize(features, pairs.FEATURES, F.col("part") == "train")
+        classify.validate(scaled.where("part = 'train'"), pairs.FEATURES, "label")
         c, b = classify.train_logistic(scaled.where("part = 'train'"), pairs.FEATURES, "label", self.config.regularization, self.config.max_iter, self.config.tolerance)
         scored = classify.score(scaled, dict(zip(pairs.FEATURES, c, strict=True)), b, self.config.threshold)
         kept = scored.select("pair_id", "left_id", "right_id", "label", "part", "probability", "prediction")
@@ -200,11 +235,28 @@ class Pipeline:
         return {"clusters": run[self.config.algorithm]().toDF("entity_id", "cluster_id")}
 
     def _analyze(self) -> dict[str, DataFrame]:
-        return {"feature_statistics": quality.describe(self.registry.load("pair_features"), pairs.FEATURES), "cluster_statistics": quality.cluster_statistics(quality.cluster_sizes(self.registry.load("clusters"), "cluster_id"))}
+        features, clusters = self.registry.load("pair_features"), self.registry.load("clusters")
+        sizes = quality.cluster_sizes(clusters, "cluster_id")
+        return {
+            "feature_statistics": quality.describe(features, pairs.FEATURES),
+            "feature_ranges": quality.ranges(features, pairs.FEATURES),
+            "cluster_statistics": quality.cluster_statistics(sizes),
+            "cluster_sizes": quality.size_buckets(sizes),
+            "largest_clusters": quality.largest_clusters(sizes, "cluster_id"),
+        }
 
     def _report(self) -> dict[str, DataFrame]:
-        names = ("field_statistics", "metrics", "model", "feature_statistics", "cluster_statistics")
-        tables = {n: self.registry.load(n) for n in names}
+        tables = {n: self.registry.load(n) for n in ("field_statistics", "metrics", "model", "feature_statistics", "feature_ranges", "cluster_statistics", "cluster_sizes", "largest_clusters")}
+        scored = self.registry.load("scored").where("label IS NOT NULL")
+        tables["importance"] = classify.coefficient_importance(tables["model"])
+        tables["confusion"] = classify.confusion(scored)
+        tables["misclassified"] = classify.misclassified(scored).groupBy("kind").agg(F.count(F.lit(1)).alias("pairs"), F.avg("probability").alias("mean_probability"))
+        tables["precision_recall"] = classify.precision_recall_area(scored)
+        tables["imputed"] = self.registry.load("imputed").groupBy("field").agg(F.count(F.lit(1)).alias("cells"), F.avg("similarity").alias("mean_similarity"))
+        tables["stages"] = self.status()
         if "://" not in self.folder or self.folder.startswith("file:"):
-            html_report("Entity resolution", tables, self.folder.removeprefix("file://") + "/report.html")
+            folder = self.folder.removeprefix("file://")
+            html_report("Entity resolution", tables, folder + "/report.html")
+            Path(folder + "/summary.json").write_text(json.dumps(self.summary(), default=str, indent=1))
+        export_csv(self.registry.load("clusters").select("cluster_id", "entity_id"), self.folder + "/clusters.csv")
         return {"report": self.spark.createDataFrame([(n, t.count()) for n, t in tables.items()], "section string, rows bigint")}

@@ -54,3 +54,14 @@ def embed_strings(strings: DataFrame, key: str, value: str, embedder: Embedder |
     distinct = strings.where(F.col(value).isNotNull()).select(F.col(value).alias("__value")).distinct()
     vectors = distinct.mapInArrow(run, "__value string, v array<float>")
     return strings.where(F.col(value).isNotNull()).select(key, F.col(value).alias("__value")).join(vectors, "__value").select(key, "v")
+
+
+def embed_text(text: str, embedder: Embedder | None = None) -> list[float]:
+    """The vector of one string, the same as `embed_strings` gives it."""
+    return [float(x) for x in (embedder or hashing_embedder())([text])[0]]
+
+
+def vector_of(vectors: DataFrame, key: str, value: str, vector: str = "v") -> list[float] | None:
+    """The stored vector of one key, None where there is none: a filter that reaches the scan."""
+    row = vectors.where(F.col(key) == value).select(vector).first()
+    return None if row is None else row[0]

@@ -209,3 +209,69 @@ def test_ranked_and_lookup(spark):
     joined = {r.id: r.v for r in skew.lookup_join(df, small, ["k"], "id").collect()}
     assert joined == {i: {"hot": 1, "k3": 2}.get(k) for i, k, _ in rows}
     assert skew.lookup_join(df, small, ["k"], "id", how="inner").count() == sum(k in ("hot", "k3") for _, k, _ in rows)
+
+
+def test_validate(spark):
+    good = [(0.1, 1), (0.2, 0), (0.3, 1)]
+    frame = lambda rows: spark.createDataFrame(rows, "x double, y int")
+    assert classify.validate(frame(good), ["x"], "y") is None
+    for bad in ([], good[:1], [*good, (float("nan"), 1)], [*good, (None, 1)], [*good, (float("inf"), 0)], [*good, (0.1, 2)], [*good, (0.1, None)]):
+        with pytest.raises(ValueError):
+            classify.validate(frame(bad), ["x"], "y")
+    with pytest.raises(ValueError):
+        classify.validate(frame(good), ["x", "z"], "y")
+
+
+def test_curves_with_crowded_scores(spark):
+    """Nearly all scores are 0 or 1: curves and areas against brute force."""
+    rows = [(i, [0.0, 1.0, 1.0, 0.999, 0.5 + i / 1e4][i % 5], int(i % 5 in (1, 2) or i % 7 == 0)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "i int, probability double, label int")
+    points, tp, fp = [], 0, 0
+    for s in sorted({r[1] for r in rows}, reverse=True):
+        tp += sum(r[2] for r in rows if r[1] == s)
+        fp += sum(1 - r[2] for r in rows if r[1] == s)
+        points.append((s, tp, fp))
+    n = sum(r[2] for r in rows)
+    got = {r.threshold: (r.precision, r.recall) for r in classify.precision_recall_curve(df).collect()}
+    assert got == {s: (pytest.approx(t / (t + f)), pytest.approx(t / n)) for s, t, f in points}
+    area, last = 0.0, (1.0, 0.0)
+    for _, t, f in points:
+        p, r = t / (t + f), t / n
+        area, last = area + (r - last[1]) * (p + last[0]) / 2, (p, r)
+    one = classify.precision_recall_area(df).first()
+    assert one["points"] == len(points) and one["area"] == pytest.approx(area)
+    assert classify.precision_recall_area(df.limit(0)).first()["area"] == 0
+
+
+def _lcs(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row[:]
+        for j, y in enumerate(b):
+            row[j + 1] = before[j] + 1 if x == y else max(row[j], before[j + 1])
+    return row[-1]
+
+
+def test_pair_features_with_token_sort(spark):
+    """The whole feature set against a plain version: texts by sorted words and their longest common subsequence."""
+    texts = [("Heath, Anna, 1801-1850", "A title of some length", "London, 1850", "Botany; Plants", "c one"), ("Anna Heath (1801-1850)", "some length of a title", "1850 London", "Plants; Botany", "c two"), ("Moor, Karl", "Other", None, "", "c"), (None, "Ünïcode títle", "Paris", "Maps", None)]
+    records = spark.createDataFrame([(str(i), *t) for i, t in enumerate(texts)], "id string, person string, title string, provision string, subjects string, composite string")
+    found = spark.createDataFrame([(str(a), str(b)) for a in range(4) for b in range(a + 1, 4)], "left_id string, right_id string")
+    plain = pairs.pair_features(pairs.with_records(found, records, "id")).collect()
+    years = {(r.left_id, r.right_id): r for r in pairs.pair_features(pairs.with_records(found, pairs.with_years(records), "id")).collect()}
+
+    def sort_ratio(a, b):
+        if a is None or b is None:
+            return 0.0
+        if a == b:
+            return 1.0
+        x, y = (" ".join(sorted(t.split())) for t in (a, b))
+        return 2 * _lcs(x, y) / (len(x) + len(y)) if x or y else 0.0
+
+    for r in plain:
+        a, b = texts[int(r.left_id)], texts[int(r.right_id)]
+        for k, f in ((1, "title"), (2, "provision"), (4, "composite")):
+            if a[k] and b[k]:
+                assert r[f"{f}_cosine"] == pytest.approx(sort_ratio(a[k], b[k]), abs=1e-6), (r.left_id, r.right_id, f)
+        assert r.person_jaro_winkler == pytest.approx(sort_ratio(a[0], b[0]), abs=1e-6)
+        assert all(r[f] == pytest.approx(years[r.left_id, r.right_id][f]) for f in pairs.FEATURES)

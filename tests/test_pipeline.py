@@ -37,3 +37,16 @@ def test_texts_without_statement_are_imputed(registry):
     assert {(r.record_id, r.field) for r in imputed} & {(r.record_id, r.field) for r in cells if r.hash in empty}
     counts = {f: sum(r.field == f and (r.hash is None or r.hash in empty) for r in cells) for f in ("provision", "subjects")}
     print("lacking", counts, "imputed", {f: sum(r.field == f for r in imputed) for f in counts})
+
+
+def test_report_and_status(spark, data, registry):
+    p = Pipeline(spark, registry.folder, table(spark, data, "catalog_records"), table(spark, data, "labelled_pairs"))
+    assert p.check_inputs() == [] and Pipeline(spark, registry.folder, p.rows.drop("person"), p.labels.limit(0)).check_inputs() == ["rows lack the column person", "no labels"]
+    p.run(start="analyze")
+    status = {r.stage: r for r in p.status().collect()}
+    assert [r.stage for r in sorted(status.values(), key=lambda r: r.place)] == list(p.stages) and {r.status for r in status.values()} == {"completed"}
+    summary = p.summary()
+    assert summary["datasets"]["clusters"] == p.load("cluster")["clusters"].count() and summary["metrics"]["tp"] > 0 and summary["clusters"]["clusters"] > 0
+    assert {r.section for r in registry.load("report").collect()} >= {"confusion", "importance", "misclassified", "precision_recall", "imputed", "stages", "largest_clusters"}
+    written = spark.read.option("header", True).csv(registry.folder + "/clusters.csv")
+    assert written.columns == ["cluster_id", "entity_id"] and written.count() == summary["datasets"]["clusters"]

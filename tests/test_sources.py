@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kinfold.plans.pipeline import Config, Pipeline
 from kinfold.plans.tables import table
-from kinfold.sources.embedder import embed_strings, hashing_embedder
+from kinfold.sources.embedder import embed_strings, embed_text, hashing_embedder, vector_of
 from kinfold.sources.exports import export_csv, export_json_sample
 from kinfold.sources.readers import malformed_rows, read_catalog, read_labels
 from kinfold.sources.registry import Registry
@@ -116,3 +116,28 @@ def test_content_hash_counts_rows(spark, tmp_path):
     r.save("one", spark.createDataFrame([("a",), ("b",), ("b",)], "x string"))
     r.save("two", spark.createDataFrame([("a",), ("c",), ("c",)], "x string"))
     assert r.metadata("one")["content"] != r.metadata("two")["content"]
+
+
+def test_append_bundle_and_reset(spark, tmp_path):
+    r = Registry(spark, str(tmp_path))
+    df = lambda *x: spark.createDataFrame([(i,) for i in x], "x int")
+    r.append("a", df(1))
+    before = r.load("a")
+    r.append("a", df(2, 3))
+    assert sorted(x.x for x in r.load("a").collect()) == [1, 2, 3] and before.count() == 1 and r.metadata("a")["rows"] == 3
+    r.save("a", df(9))
+    assert [x.x for x in r.load("a").collect()] == [9]
+    r.save_bundle("model", {"weights": df(1), "scores": df(1, 2)}, "r1")
+    r.save_bundle("model", {"weights": df(5)}, "r2")
+    assert {k: v.count() for k, v in r.load_bundle("model", "r1").items()} == {"weights": 1, "scores": 2}
+    assert [x.x for x in r.load_bundle("model")["weights"].collect()] == [5]
+    with pytest.raises(KeyError):
+        r.load_bundle("model", "r9")
+    r.reset()
+    assert not r.exists("a") and r.datasets().count() == 0
+
+
+def test_single_text_and_stored_vector(spark):
+    df = spark.createDataFrame([("k", "Some text"), ("l", None)], "k string, t string")
+    vectors = embed_strings(df, "k", "t")
+    assert vector_of(vectors, "k", "k") == pytest.approx(embed_text("Some text")) and vector_of(vectors, "k", "l") is None
