@@ -42,11 +42,6 @@ def pair_id(a: Column, b: Column) -> Column:
     return F.concat_ws("|", F.least(a, b), F.greatest(a, b))
 
 
-def pair_ends(c: Column) -> tuple[Column, Column]:
-    parts = F.split(c, r"\|")
-    return F.when(F.size(parts) == 2, parts[0]), F.when(F.size(parts) == 2, parts[1])
-
-
 def levenshtein_similarity(a: Column, b: Column) -> Column:
     """1 - distance / longer length; 1 for two empty texts, null if either is null."""
     longer = F.greatest(F.length(a), F.length(b))

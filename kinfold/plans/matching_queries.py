@@ -17,6 +17,8 @@ from kinfold.sources.embedder import embed_strings
 #: Weights of the scoring query, by hand; the training query fits its own.
 WEIGHTS, INTERCEPT, THRESHOLD = {"person_levenshtein": 6.0, "birth_year_match": 2.0, "death_year_match": 1.0, "composite_cosine": 1.5, "person_title_harmonic": 0.5}, -4.0, 0.55
 LEAST_EDGE = 0.9
+#: Candidates of a person vector: so many nearest at most, of at least this similarity; as the pipeline's defaults.
+NEIGHBOURS, LEAST_SIMILAR = 200, 0.3
 
 # ---- neighbours ----
 
@@ -36,7 +38,7 @@ def _vectors(spark: SparkSession, d: str, field: str) -> DataFrame:
 
 def knn_candidates(spark: SparkSession, d: str) -> DataFrame:
     x = _vectors(spark, d, "person")
-    return knn.candidates(knn.exact_top_k(x, x, "id", "v", 20), 0.7).withColumn("similarity", F.round("similarity", 6))
+    return knn.candidates(knn.exact_top_k(x, x, "id", "v", NEIGHBOURS), LEAST_SIMILAR).withColumn("similarity", F.round("similarity", 6))
 
 
 def candidate_records(spark: SparkSession, d: str) -> DataFrame:
@@ -303,8 +305,9 @@ def resolve_conflicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def adjacency_export(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbours with their weights in ten-thousandths."""
     a = graph.adjacency(_edges(spark, d))
-    return a.select("node", F.array_join(F.map_keys("neighbours"), ",").alias("neighbours"))
+    return a.select("node", F.array_join(F.transform(F.map_entries("neighbours"), lambda e: F.concat(e["key"], F.lit(":"), F.floor(e["value"] * 10_000).cast("string"))), ",").alias("neighbours"))
 
 
 def label_propagation(spark: SparkSession, d: str) -> DataFrame:
@@ -363,8 +366,8 @@ top AS (SELECT * FROM (SELECT q.id AS query, x.id AS item, list_cosine_similarit
   row_number() OVER (PARTITION BY q.id ORDER BY round(list_cosine_similarity(q.v, x.v), 12) DESC, x.id) AS rank FROM q, x) WHERE rank <= {k}) """
 _EMBEDDINGS = "SELECT vec_id::VARCHAR AS id, embedding::DOUBLE[] AS v FROM embeddings"
 _VECTORS = "SELECT hash AS id, min(v)::DOUBLE[] AS v FROM vectors WHERE field = '{0}' AND v IS NOT NULL GROUP BY hash"
-_PERSON_TOP = _TOP.format(items=_VECTORS.format("person"), queries="SELECT * FROM x", k=20)
-_CANDIDATES = _PERSON_TOP[:-1] + ", found AS (SELECT query AS hash1, item AS hash2, round(similarity, 6) AS similarity FROM top WHERE similarity >= 0.7 AND query <> item), people AS (SELECT DISTINCT record_id, person FROM record_field_hashes WHERE person IS NOT NULL) "
+_PERSON_TOP = _TOP.format(items=_VECTORS.format("person"), queries="SELECT * FROM x", k=200)
+_CANDIDATES = _PERSON_TOP[:-1] + ", found AS (SELECT query AS hash1, item AS hash2, round(similarity, 6) AS similarity FROM top WHERE similarity >= 0.3 AND query <> item), people AS (SELECT DISTINCT record_id, person FROM record_field_hashes WHERE person IS NOT NULL) "
 _SUBJECTS = _TOP.format(
     items=f"SELECT * FROM ({_VECTORS.format('composite')}) WHERE id IN (SELECT composite FROM record_field_hashes WHERE subjects IS NOT NULL)",
     queries=f"SELECT * FROM ({_VECTORS.format('composite')}) WHERE id IN (SELECT composite FROM record_field_hashes WHERE subjects IS NULL)",
@@ -463,7 +466,7 @@ SQL: dict[str, str] = {
     "largest_clusters": _SIZE + "SELECT component, size FROM sizes ORDER BY size DESC, component LIMIT 10",
     "anomalous_clusters": _SIZE + "SELECT component, size FROM sizes WHERE size > 50",
     "resolve_conflicts": f"WITH {_EDGES}, m AS (SELECT node AS id, string_split(other, '#')[1] AS cluster FROM near UNION SELECT node, string_split(node, '#')[1] FROM near), several AS (SELECT id FROM m GROUP BY id HAVING count(*) > 1), pull AS (SELECT n.node AS id, m.cluster, round(avg(n.weight), 12) AS pull FROM near n JOIN several s ON s.id = n.node JOIN m ON m.id = n.other GROUP BY ALL) SELECT id, cluster FROM (SELECT m.id, m.cluster, row_number() OVER (PARTITION BY m.id ORDER BY coalesce(p.pull, 0) DESC, m.cluster) AS place FROM m LEFT JOIN pull p ON p.id = m.id AND p.cluster = m.cluster) WHERE place = 1",
-    "adjacency_export": f"WITH {_EDGES} SELECT node, string_agg(other, ',' ORDER BY other) AS neighbours FROM near GROUP BY node",
+    "adjacency_export": f"WITH {_EDGES} SELECT node, string_agg(other || ':' || floor(weight * 10000)::BIGINT, ',' ORDER BY other) AS neighbours FROM near GROUP BY node",
     "data_quality": base._RECORD_CELLS + "SELECT field, count(*) AS total, count(DISTINCT hash) AS distinct_values, round(100 * count(DISTINCT hash) / count(*), 6) AS unique_percent FROM cells WHERE hash IS NOT NULL GROUP BY field",
     "stage_throughput": "SELECT event_type, count(*) AS records, epoch_us(max(ts)) / 1e6 - epoch_us(min(ts)) / 1e6 AS seconds, round(coalesce(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 0), 0), 9) AS per_second FROM events GROUP BY event_type",
     "trailing_batch_mean": "SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS trailing_mean FROM events",

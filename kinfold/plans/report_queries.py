@@ -26,7 +26,7 @@ def vector_lookup(spark: SparkSession, d: str) -> DataFrame:
     v = table(spark, d, "vectors").where("v IS NOT NULL")
     first = v.agg(F.min(F.struct("hash", "field")).alias("k")).first()["k"]
     found = v.where((F.col("hash") == first["hash"]) & (F.col("field") == first["field"])) if first else v.limit(0)
-    return found.groupBy("hash", "field").agg(F.min("v").alias("v")).select("hash", "field", F.size("v").alias("dimensions"), F.round(F.col("v")[0].cast("double"), 6).alias("first"))
+    return found.groupBy("hash", "field").agg(F.min("v").alias("v")).select("hash", "field", F.size("v").alias("dimensions"), F.array_join(F.transform("v", lambda x: F.format_string("%.4f", x.cast("double"))), " ").alias("vector"))
 
 
 def index_completion(spark: SparkSession, d: str) -> DataFrame:
@@ -157,7 +157,7 @@ _LABEL = f"(lower(trim(regexp_replace(is_match, '{base._SPACE}', ' ', 'g'))) IN
 
 SQL: dict[str, str] = {
     "candidate_lookup": "SELECT record1_id, record2_id, record1_hash, record2_hash, round(similarity, 6) AS similarity FROM candidate_pairs WHERE record1_id = (SELECT record1_id FROM candidate_pairs WHERE record1_id IS NOT NULL GROUP BY record1_id ORDER BY count(*) DESC, record1_id LIMIT 1)",
-    "vector_lookup": "SELECT hash, field, len(min(v)) AS dimensions, round(min(v)[1]::DOUBLE, 6) AS first FROM vectors WHERE v IS NOT NULL GROUP BY ALL ORDER BY hash, field LIMIT 1",
+    "vector_lookup": "SELECT hash, field, len(min(v)) AS dimensions, array_to_string(list_transform(min(v), lambda x: printf('%.4f', x::DOUBLE)), ' ') AS vector FROM vectors WHERE v IS NOT NULL GROUP BY ALL ORDER BY hash, field LIMIT 1",
     "index_completion": f"WITH r AS ({base.SQL['index_reconciliation']}) SELECT field, indexed, embedded, indexed - embedded AS missing, round(coalesce(embedded / nullif(indexed, 0), 0), 6) AS share, coalesce(embedded / nullif(indexed, 0), 0) >= 0.9 AS complete FROM r WHERE field <> 'roles'",
     "entity_coverage": _M._GRAPH + "SELECT clustered, records, round(clustered / records, 6) AS coverage FROM (SELECT count(*) AS clustered FROM groups), (SELECT count(DISTINCT record_id) AS records FROM record_field_hashes)",
     "size_histogram": _M._SIZE + "SELECT size, count(*) AS clusters FROM sizes GROUP BY size",

@@ -61,6 +61,7 @@ def test_numbers(spark):
     assert f(tx.capped_ratio(lit(1.0), lit(0.05))) == 10 and f(tx.capped_ratio(lit(0.4), lit(0.0))) == 0
     assert f(tx.finite(lit(float("nan")))) == 0 and f(tx.finite(lit(float("-inf")))) == -1e10
     assert f(tx.tenth(lit(0.25))) == 0.2
+    assert f(tx.percent(lit(0.125))) == "12.50 %" and f(tx.percent(lit(None).cast("double"))) is None
     assert f(tx.cosine(F.array(lit(1.0), lit(0.0)), F.array(lit(1.0), lit(1.0)))) == pytest.approx(2**-0.5)
     assert f(tx.cosine(F.array(lit(0.0), lit(0.0)), F.array(lit(1.0), lit(1.0)))) == 0
 
