@@ -138,28 +138,28 @@ def graph_statistics(edges: DataFrame) -> DataFrame:
 
 
 def label_propagation(edges: DataFrame, rounds: int = 100) -> DataFrame:
-    """(id, label): each round a node takes the most frequent label of its neighbours, the smallest of equals, until nothing changes.
+    """(id, label): each round a node takes the most frequent label of its neighbours, its own if that is one of them, else the smallest of equals, until nothing changes.
 
-    Nodes take turns by a hash of the id and the round, half of them each time, so that two-coloured graphs settle. Labels
-    that have not settled after `rounds` are an error, not a result.
+    Nodes take turns by a hash of the id and the round, half of them each time, so that neighbours do not swap labels for ever.
+    Labels that have not settled after `rounds` are an error, not a result.
     """
     scratch = Scratch(edges.sparkSession, "label-propagation")
     near = scratch.save(symmetric(edges).select("node", "other"))
     labels = scratch.save(near.select(F.col("node").alias("id"), F.col("node").alias("label")).distinct())
-    quiet = False
     for r in range(2 * rounds):
         votes = near.join(labels.withColumnRenamed("id", "other"), "other").groupBy("node", "label").agg(F.count(F.lit(1)).alias("n"))
-        top = votes.groupBy("node").agg(F.max("n").alias("n"))
-        chosen = votes.join(top, ["node", "n"]).groupBy("node").agg(F.min("label").alias("new"))
-        turn = F.pmod(F.xxhash64("id") + r, F.lit(2)) == 0
-        new = labels.join(chosen.withColumnRenamed("node", "id"), "id", "left")
-        moved = scratch.save(new.select("id", F.when(turn & F.col("new").isNotNull(), F.col("new")).otherwise(F.col("label")).alias("label"), (turn & F.col("new").isNotNull() & (F.col("new") != F.col("label"))).alias("changed")))
-        changed = moved.where("changed").limit(1).count()
+        own = votes.join(labels.toDF("node", "own"), "node")
+        best = own.groupBy("node").agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("new"), F.max("n").alias("n"), F.max(F.when(F.col("label") == F.col("own"), F.col("n"))).alias("same"))
+        # wants to move where another label is more frequent than its own
+        wanted = best.where(F.col("n") > F.coalesce("same", F.lit(0))).select(F.col("node").alias("id"), "new")
+        turn = F.pmod(F.xxhash64("id", F.lit(r)), F.lit(2)) == 0
+        moved = scratch.save(labels.join(wanted, "id", "left").select("id", F.when(turn & F.col("new").isNotNull(), F.col("new")).otherwise(F.col("label")).alias("label"), F.col("new").isNotNull().alias("unsettled")))
+        unsettled = moved.where("unsettled").limit(1).count()
         scratch.drop(labels)
-        labels = moved
-        if not changed and quiet:
-            return labels.select("id", "label")
-        quiet = not changed
+        labels = moved.select("id", "label")
+        labels._scratch_path = moved._scratch_path
+        if not unsettled:
+            return labels
     raise RuntimeError(f"labels have not settled after {rounds} rounds")
 
 

@@ -68,5 +68,7 @@ class Scratch:
         out = self.save(df.observe(seen, F.count(F.lit(1)).alias("n")))
         return out, int(seen.get["n"])
 
-    def drop(self, df: DataFrame) -> None:
-        _remove(self.spark, df._scratch_path)
+    def drop(self, *tables: DataFrame) -> None:
+        """Removes saved tables that nothing reads any more."""
+        for df in tables:
+            _remove(self.spark, df._scratch_path)
