@@ -43,6 +43,8 @@ RARE, TIMES = 3, 5
 _Q = 3
 #: One edit or swap of neighbours changes at most q + 1 of a token's q-grams, so of two similar tokens' q + 3 rarest two are common to both.
 _PREFIX = _Q + 3
+#: A word is no part of a name if so much of the names with it, and so many, occur without it as well.
+DROPPED, SUPPORT = 0.5, 5
 #: Words are taken into a name's prefix, the rarest first, until the rest weigh less than this share: for names compared with
 #: the year of birth as further evidence, and for the others.
 SHARE_DATED, SHARE_UNDATED = 0.4, 0.6
@@ -121,6 +123,18 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["id", "spelling"])
 
 
+def droppable(names: DataFrame, share: float, support: int) -> DataFrame:
+    """(token): words that names do without, found from the data: at least `share` of the names with the word, `support` of them or more,
+    occur without it too, with the same other words and years. Titles and the like are such words, names are not.
+    """
+    mark = lambda words: F.xxhash64(F.array_sort(words), F.coalesce("birth", F.lit(0)), F.coalesce("death", F.lit(0)))
+    whole = names.select(mark("words").alias("rest"), F.lit(True).alias("there")).distinct()
+    less = lambda i: F.concat(F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, F.size("words")))
+    parts = names.where(F.size("words") > 1).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("words")), lambda i: F.struct(F.element_at("words", i).alias("token"), mark(less(i)).alias("rest")))).alias("x")).select("x.*")
+    counts = parts.join(whole, "rest", "left").groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count("there").alias("without"))
+    return counts.where((F.col("n") >= support) & (F.col("without") >= share * F.col("n"))).select("token")
+
+
 def token_variants(tokens: DataFrame, scratch: Scratch) -> DataFrame:
     """(token, other): spellings one edit apart, from the rarer to the more frequent; of (token, n).
 
@@ -320,14 +334,16 @@ def similar_names(shaped: DataFrame, least: float, scratch: Scratch) -> DataFram
     a, b = (keys(c, False).unionByName(keys(f"{c}_dated", True)).alias(s) for c, s in (("asks", "a"), ("keys", "b")))
     one, other = F.struct("a.dated", "a.name"), F.struct("b.dated", "b.name")  # an undated name comes before a dated one
     pairs = a.join(b, (F.col("a.k") == F.col("b.k")) & (F.col("a.years") == F.col("b.years")) & (F.col("a.name") != F.col("b.name")) & (F.col("a.years") | ~F.col("a.dated") | ~F.col("b.dated")))
-    pairs = scratch.save(pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct().select(F.col("a.name").alias("a"), F.col("b.name").alias("b")))
+    met = scratch.save(pairs.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b")).distinct().select(F.col("a.name").alias("a"), F.col("b.name").alias("b")))
     info = scratch.save(shaped.select("name", F.struct("kind", "birth", "death", "tokens", "own", "weights").alias("i")))
     side = lambda s: info.select(F.col("name").alias(s), F.col("i").alias(f"i{s}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = met.join(side("a"), "a").join(side("b"), "b")
     agree = F.coalesce(F.col("ia.death") == F.col("ib.death"), F.lit(True)) & F.coalesce(F.col("ia.birth") == F.col("ib.birth"), F.lit(True))
     same_year = F.coalesce(F.col("ia.birth") == F.col("ib.birth"), F.lit(False))
     columns = [F.col(f"i{s}.{c}").alias(f"{c}_{s}") for s in "ab" for c in ("tokens", "own", "weights")]
-    return both.where(agree).select("a", "b", *columns, same_year.alias("both"), ((F.col("ia.kind") != DATED) & (F.col("ib.kind") == DATED)).alias("dated_b")).mapInArrow(_verify(least), _VERIFIED)
+    alike = scratch.save(both.where(agree).select("a", "b", *columns, same_year.alias("both"), ((F.col("ia.kind") != DATED) & (F.col("ib.kind") == DATED)).alias("dated_b")).mapInArrow(_verify(least), _VERIFIED))
+    scratch.drop(met, info)
+    return alike
 
 
 def name_entities(values: DataFrame, key: str, value: str, least_similarity: float = LEAST_SIMILARITY) -> DataFrame:
@@ -341,7 +357,8 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
 
     A name is a set of words, each weighted by its rarity and standing for all q-grams of its spelling. Words meet through a
     q-gram join of the distinct words (`token_variants`), names through the spellings of their rarest words (`SHARE_DATED`, `SHARE_UNDATED`)
-    together with a first letter of another word and, for dated names, the year of birth. All pairs that meet are verified by
+    together with a first letter of another word and, for dated names, the year of birth. Words that names mostly do without weigh
+    nothing (`droppable`). All pairs that meet are verified by
     their soft weighted similarity. All this happens among distinct parsed names, so a name on a third of all rows is one row.
     """
     scratch = Scratch(values.sparkSession, "names")
@@ -350,6 +367,7 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     # each distinct name is a number from here on
     numbered, total = scratch.save_counted(parsed.select("spelling").distinct().withColumn("name", F.monotonically_increasing_id()))
     members = scratch.save(parsed.join(numbered, "spelling").select("id", "name"))
+    scratch.drop(parsed)
     part = F.split("spelling", "\t")
     year = lambda k: F.nullif(part[k], F.lit("")).cast("int")
     names = numbered.select("name", F.split(part[0], " ").alias("words"), year(1).alias("birth"), year(2).alias("death"))
@@ -363,14 +381,17 @@ def name_entities(values: DataFrame, key: str, value: str, least_similarity: flo
     forms = values.sparkSession.createDataFrame([(s, f) for s, fulls in FULL_FORMS.items() for f in fulls], "short string, token string").join(stats, "token").groupBy(F.col("short").alias("token")).agg(F.max("n").alias("full_n"))
     infos = stats.join(near, "token", "left").join(starts, "token", "left").join(F.broadcast(forms), "token", "left")
     others = F.array_compact(F.array_append(F.coalesce("others", F.array().cast("array<string>")), F.when(F.col("w.n") >= F.col("n"), F.col("w.whole"))))
+    infos = infos.join(droppable(names, DROPPED, SUPPORT), "token", "left_anti")
     infos = scratch.save(infos.select("token", "n", others.alias("others"), F.greatest("n", "m.n", "full_n", "w.n").alias("top"), F.coalesce("m.best", "token").alias("best")))
     shaped = placed.join(infos, "token").groupBy("name").agg(F.collect_list(F.struct("pos", "token", "n", "top", "best", "others")).alias("infos"))
     years = names.where("birth IS NOT NULL").groupBy("birth").agg(F.count(F.lit(1)).alias("years"))
     shaped = names.select("name", "birth", "death").join(shaped, "name").join(years, "birth", "left").select("name", "birth", "death", "infos", F.coalesce("years", F.lit(total)).alias("years"))
     shaped = scratch.save(shaped.mapInArrow(_shaped(total), _SHAPE))
-    alike = scratch.save(similar_names(shaped, least_similarity, scratch))
+    scratch.drop(stats, infos)
+    alike = similar_names(shaped, least_similarity, scratch)
 
     links = scratch.save(_links(alike, shaped, least_similarity, scratch))
+    scratch.drop(alike, shaped)
     groups = connected_components(links, "one", "two")
     entities = scratch.save(members.join(groups.select(F.col("id").alias("name"), "component"), "name", "left").select("id", F.coalesce("component", "name").alias("component")))
     return lookup_join(entities, entities.groupBy("component").agg(F.min("id").alias("entity")), ["component"], "id").select(F.col("id").alias(key), "entity")

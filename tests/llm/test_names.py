@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from kinfold.llm.names import compared, name_entities, name_pairs, one_edit, parse, soft_similarity, token_variants, two_edits
+from kinfold.llm.names import compared, droppable, name_entities, name_pairs, one_edit, parse, soft_similarity, token_variants, two_edits
 from kinfold.scratch import Scratch
 
 GROUPS = [
@@ -52,6 +52,20 @@ def test_one_edit(a, b, near):
     assert one_edit(a, b) is near and one_edit(b, a) is near
 
 
+def test_droppable_words(spark):
+    """A title that is no list's is found from the names, and then does not keep names apart; a second name is kept."""
+    rows, k = [], 0
+    for s in ("Molodake", "Sirenato", "Kabrozola", "Tolumade", "Pevigadri", "Brazakara"):
+        for g in ("Ruth", "Otto"):
+            rows += [f"{s}, {g}, {1700 + k}-", f"{s}, Zarg {g}, {1700 + k}-", f"{s}, {g} Nora, {1900 + k}-"]
+            k += 1
+    parsed = spark.createDataFrame([(*parse(r),) for r in rows], "words array<string>, birth int, death int")
+    assert [r.token for r in droppable(parsed, 0.5, 5).collect()] == ["zarg"] and droppable(parsed.limit(0), 0.5, 5).count() == 0
+    df, value = frame(spark, rows)
+    entity = {value[r.hash]: r.entity for r in name_entities(df, "hash", "value").collect()}
+    assert all(entity[rows[i]] == entity[rows[i + 1]] != entity[rows[i + 2]] for i in range(0, len(rows), 3))
+
+
 def test_two_edits():
     assert two_edits("gubimukro", "gubmukrro") and two_edits("martha", "mrtah") and not two_edits("martha", "mxyzha")
 
