@@ -23,12 +23,16 @@ from kinfold.sources.registry import Registry
 
 @dataclass(frozen=True)
 class Config:
-    """Settings and their defaults; `override` returns a changed copy."""
+    """Settings and their defaults; `override` returns a changed copy.
+
+    impute_from: "field" takes the nearest value of the missing field itself, "composite" what records of near composites have.
+    """
 
     train_share: float = 0.7
     neighbours: int = 200
     similarity: float = 0.30
     impute_neighbours: int = 10
+    impute_from: str = "field"
     least_person: float = 0.3
     regularization: float = 1.0
     max_iter: int = 1000
@@ -180,6 +184,8 @@ class Pipeline:
         return {"neighbours": top, "candidates": across.unionByName(within)}
 
     def _impute(self) -> dict[str, DataFrame]:
+        if self.config.impute_from not in ("field", "composite"):
+            raise ValueError(f"unknown source of imputed values {self.config.impute_from!r}")
         cells = self.registry.load("cells")
         composite = cells.where("field = 'composite' AND hash IS NOT NULL").select("record_id", F.col("hash").alias("c"))
         missing = ingest.missing_fields(cells, "record_id").select("record_id", F.explode("missing").alias("field"))
@@ -191,6 +197,15 @@ class Pipeline:
             values = have.groupBy(F.col("c").alias("item")).agg(F.min("value").alias("value"))
             lacking = composite.join(have.select("record_id"), "record_id", "left_anti")
             x = self._of("composite")
+            if self.config.impute_from == "field":
+                # the composite's vector against those of the field itself, of texts that state something
+                stated = present.where((F.col("field") == name) & F.col("hash").isNotNull()).select(F.col("hash").alias("id")).distinct()
+                asks = x.join(lacking.select(F.col("c").alias("id")).distinct(), "id", "left_semi")
+                near = knn.exact_top_k(asks, self._of(name).join(stated, "id", "left_semi"), "id", "v", 2 * self.config.impute_neighbours)
+                filled = near.where((F.col("rank") == 1) & (F.col("similarity") >= self.config.similarity)).select("query", F.col("item").alias("hash"), "similarity")
+                part = lacking.join(filled, F.col("c") == F.col("query")).select("record_id", F.lit(name).alias("field"), "hash", "similarity")
+                out = part if out is None else out.unionByName(part)
+                continue
             top = knn.exact_top_k(x.join(lacking.select(F.col("c").alias("id")), "id", "left_semi"), x.join(values.select(F.col("item").alias("id")), "id", "left_semi"), "id", "v", self.config.impute_neighbours)
             filled = knn.impute_nearest(top, values, self.config.similarity)
             part = lacking.join(filled, F.col("c") == F.col("query")).select("record_id", F.lit(name).alias("field"), F.col("value").alias("hash"), "similarity")
