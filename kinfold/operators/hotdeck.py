@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from kinfold.operators.skew import lookup_join
 from kinfold.scratch import Scratch
 
+#: Ranges of a block's values for its median.
+RANGES = 64
+
 # Texts that state no value once everything but letters and digits is left out; fixed values.
 VACUOUS = ("", "na", "nan", "nil", "null", "none", "sn", "sl", "slsn", "slsnsd", "nd", "sd", "unknown", "notavailable", "notapplicable", "notgiven", "notstated", "notspecified", "unspecified", "unstated", "unidentified", "undetermined", "missing", "empty", "nodata", "novalue", "tbd")
 
@@ -117,10 +120,22 @@ def _feature(f: str | Column) -> Column:
 
 
 def _weighted_median(donors: DataFrame, keys: list[str]) -> DataFrame:
-    upto = Window.partitionBy(*keys).orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
-    whole = donors.groupBy(*keys).agg(F.sum("__w").alias("__all"), F.sum("__n").alias("__n"))
-    summed = donors.drop("__n").withColumn("__upto", F.sum("__w").over(upto)).join(whole, keys)
-    return summed.where(F.col("__upto") * 2 >= F.col("__all")).groupBy(*keys).agg(F.min("__value").alias("__v"), F.first("__n").alias("__n"))
+    """The smallest value up to which at least half of the weight lies.
+
+    Values of a block are cut into ranges by approximate quantiles; weights are summed by range, and only the range that holds the
+    median is sorted, so a block of a third of all records is in no task as a whole. The result is exact.
+    """
+    whole = donors.groupBy(*keys).agg(F.sum("__w").alias("__all"), F.sum("__n").alias("__n"), F.percentile_approx("__value", [i / RANGES for i in range(1, RANGES)], 1_000).alias("__bounds"))
+    placed = lookup_join(donors.drop("__n"), whole, keys, "__value", how="inner").withColumn("__range", F.size(F.filter("__bounds", lambda x: x < F.col("__value"))))
+    per = placed.groupBy(*keys, "__range").agg(F.sum("__w").alias("__sum"), F.first("__all").alias("__whole"))
+    # at most RANGES rows a block
+    upto = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("__upto", F.sum("__sum").over(upto)).where(F.col("__upto") * 2 >= F.col("__whole"))
+    middle = per.groupBy(*keys).agg(F.min(F.struct("__range", (F.col("__upto") - F.col("__sum")).alias("__before"))).alias("m")).select(*keys, "m.*")
+    inside = placed.drop("__bounds").join(middle, [*keys, "__range"])
+    along = Window.partitionBy(*keys).orderBy("__value").rowsBetween(Window.unboundedPreceding, 0)
+    summed = inside.withColumn("__so_far", F.col("__before") + F.sum("__w").over(along))
+    return summed.where(F.col("__so_far") * 2 >= F.col("__all")).groupBy(*keys).agg(F.min("__value").alias("__v"), F.first("__n").alias("__n"))
 
 
 def bin_of(c: Column, width: float) -> Column:

@@ -42,10 +42,10 @@ def p4_filled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_similarities(spark: SparkSession, d: str) -> DataFrame:
-    """Matches without a similarity get the median of the closest matches: of the same two persons, of either, or found in the same week of the same batch."""
+    """Matches without a similarity get the median of the closest matches: of the same first person, found in the same week or month, within the batch."""
     p = table(spark, d, "candidate_pairs").where("record1_id IS NOT NULL AND record2_id IS NOT NULL").select("record1_id", "record2_id", "record1_hash", "record2_hash", "batch_no", "similarity", F.unix_timestamp("found_at").alias("at")).distinct()
     p = p.withColumn("pair", F.concat_ws("\t", "record1_id", "record2_id", F.coalesce(F.col("similarity").cast("string"), F.lit("")), F.coalesce(F.col("at").cast("string"), F.lit("")), "record1_hash", "record2_hash"))
-    out = nearest_hot_deck(p, "pair", "similarity", ["batch_no"], {"record1_hash": 4.0, "record2_hash": 2.0}, {"at": (1.0, 604_800.0)}, numeric=True)
+    out = nearest_hot_deck(p, "pair", "similarity", ["batch_no"], {"record1_hash": 2.0}, {"at": (1.0, 604_800.0)}, numeric=True)
     part = F.split("pair", "\t")
     return out.where("filled").select(part[0].alias("record1_id"), part[1].alias("record2_id"), F.round("value", 6).alias("similarity"), "donors", "distance")
 
@@ -79,7 +79,7 @@ FROM cells c LEFT JOIN voted v ON v.record_id = c.record_id AND v.field_type = c
     "p4_similarities": """
 WITH p AS (SELECT DISTINCT record1_id, record2_id, record1_hash, record2_hash, batch_no, similarity, epoch(found_at)::BIGINT AS at FROM candidate_pairs WHERE record1_id IS NOT NULL AND record2_id IS NOT NULL),
 lacking AS (SELECT *, row_number() OVER () AS n FROM p WHERE similarity IS NULL),
-met AS (SELECT l.n, d.similarity, CASE WHEN d.record1_hash = l.record1_hash THEN 0 ELSE 4 END + CASE WHEN d.record2_hash = l.record2_hash THEN 0 ELSE 2 END
+met AS (SELECT l.n, d.similarity, CASE WHEN d.record1_hash = l.record1_hash THEN 0 ELSE 2 END
     + CASE WHEN d.at // 604800 = l.at // 604800 THEN 0 WHEN d.at // 2419200 = l.at // 2419200 THEN 0.5 ELSE 1 END AS distance
   FROM lacking l JOIN p d ON d.batch_no = l.batch_no WHERE d.similarity IS NOT NULL),
 near AS (SELECT * FROM met QUALIFY distance = min(distance) OVER (PARTITION BY n)),

@@ -172,6 +172,24 @@ def test_nearest_hot_deck(spark):
     assert hotdeck.nearest_hot_deck(df.limit(0), "id", "hash", ["grp"], {"title": 1.0}).count() == 0
 
 
+def test_weighted_median_of_a_hot_block(spark):
+    """One block holds most records; its weighted lower median against a plain one."""
+    rng = random.Random(4)
+    rows = [(str(i), "hot" if i % 4 else f"b{i % 40}", None if i % 11 == 0 else rng.choice([rng.random() * 100, 5.0, 7.0]), rng.choice([0.5, 1.0, 3.0])) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id string, grp string, price double, w double")
+    want = {}
+    for g in {r[1] for r in rows}:
+        values = sorted((r[2], r[3]) for r in rows if r[1] == g and r[2] is not None)
+        whole, upto = sum(w for _, w in values), 0.0
+        for v, w in values:
+            upto += w
+            if 2 * upto >= whole:
+                want[g] = v
+                break
+    got = {r.id: r.value for r in hotdeck.hot_deck(df, "id", "price", [["grp"]], "w", numeric=True).where("filled").collect()}
+    assert got == {r[0]: want[r[1]] for r in rows if r[2] is None}
+
+
 def test_hot_deck_hot_block_and_empty(spark):
     rows = [(str(i), "hot" if i % 3 else f"b{i}", None if i % 7 == 0 else f"v{i % 4}") for i in range(3000)]
     df = spark.createDataFrame(rows, "id string, bib string, hash string")
